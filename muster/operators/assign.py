@@ -12,27 +12,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.operators import joins, usage
-from muster.operators.expected import last_k_logons
 from muster.operators.numbering import number_rows
 from muster.session import cut
 
 
-def unit_order(history: DataFrame) -> DataFrame:
-    """Order of units: lowest vehicle id used, then the unit code."""
-    return history.groupBy("generic").agg(F.min("carid").alias("_first")).select(
+def unit_order(uses: DataFrame) -> DataFrame:
+    """Order of units: lowest vehicle id used, then the unit code. ``uses`` has
+    one row per (generic, vehicle)."""
+    return uses.groupBy("generic").agg(F.min("carid").alias("_first")).select(
         "generic", F.struct(F.col("_first"), F.col("generic").alias("_unit")).alias("turn")
     )
 
 
-def candidates(history: DataFrame, expected: DataFrame, *, k: int = 30) -> DataFrame:
+def candidates(recent: DataFrame, expected: DataFrame, order: DataFrame) -> DataFrame:
     """Recent vehicles of the expected type per unit, with use and the unit's turn."""
     wanted = expected.where(F.col("expected_type").isNotNull()).select("generic", "expected_type")
-    used = last_k_logons(history, k).where(F.col("carid").isNotNull())
-    uses = used.groupBy("generic", "carid", "vehicle_type").agg(F.count("*").alias("n"))
+    used = recent.where(F.col("carid").isNotNull()).groupBy("generic", "carid", "vehicle_type")
     return (
-        uses.join(wanted, "generic")
+        used.agg(F.count("*").alias("n"))
+        .join(wanted, "generic")
         .where("vehicle_type = expected_type")
-        .join(unit_order(history), "generic")
+        .join(order, "generic")
         .select("generic", "turn", "carid", F.struct(-F.col("n"), F.col("carid")).alias("liking"))
     )
 
@@ -47,7 +47,8 @@ def _round(choices: DataFrame, taken: DataFrame) -> DataFrame:
     return picks.groupBy(F.col("pick.carid").alias("carid")).agg(F.min("pick.turn").alias("turn"))
 
 
-def default_vehicle(history: DataFrame, expected: DataFrame, *, k: int = 30, rounds_per_cut: int = 2) -> DataFrame:
+def default_vehicle(recent: DataFrame, expected: DataFrame, order: DataFrame, *,
+                    rounds_per_cut: int = 2) -> DataFrame:
     """Vehicles taken in turn: columns generic, default_vehicle.
 
     Rounds run until nothing changes. The result is that of the one-by-one
@@ -56,10 +57,11 @@ def default_vehicle(history: DataFrame, expected: DataFrame, *, k: int = 30, rou
     is one such state only, whatever the rounds start from, and a state that
     comes back after several rounds is that state.
 
-    A unit brings at most its k recent vehicles, so a round handles a bounded
-    number of rows per unit. Each state is checkpointed to the shared folder.
+    A unit brings at most the vehicles of its recent logons, so a round handles
+    a bounded number of rows per unit. Each state is checkpointed to the shared
+    folder.
     """
-    choices = cut(candidates(history, expected, k=k))
+    choices = cut(candidates(recent, expected, order))
     taken = choices.groupBy("carid").agg(F.min("turn").alias("turn")).limit(0)
     while True:
         state = taken
@@ -73,7 +75,8 @@ def default_vehicle(history: DataFrame, expected: DataFrame, *, k: int = 30, rou
         taken = state
 
 
-def default_vehicle_fill(history: DataFrame, expected: DataFrame, first: DataFrame, types: DataFrame) -> DataFrame:
+def default_vehicle_fill(expected: DataFrame, first: DataFrame, order: DataFrame, uses: DataFrame,
+                         types: DataFrame) -> DataFrame:
     """Vehicles for all units: columns generic, expected_type, default_vehicle
     and source (own, free, duplicate, none).
 
@@ -81,9 +84,7 @@ def default_vehicle_fill(history: DataFrame, expected: DataFrame, first: DataFra
     """
     units = expected.select("generic", "expected_type").join(first, "generic", "left")
     waiting = units.where("default_vehicle IS NULL AND expected_type IS NOT NULL").select("generic", "expected_type")
-    waiting = waiting.join(unit_order(history), "generic").select(
-        "generic", "expected_type", "turn._first", "turn._unit"
-    )
+    waiting = waiting.join(order, "generic").select("generic", "expected_type", "turn._first", "turn._unit")
     free = joins.anti_missing(types.distinct(), "vehicle", first, "default_vehicle")
     free = free.where("vehicle_type IS NOT NULL AND vehicle IS NOT NULL")
     # A type nobody waits for needs no numbers.
@@ -91,7 +92,7 @@ def default_vehicle_fill(history: DataFrame, expected: DataFrame, first: DataFra
     queue = number_rows(waiting, ["expected_type"], ["_first", "_unit"])
     stock = number_rows(free, ["vehicle_type"], ["vehicle"]).withColumnRenamed("vehicle_type", "expected_type")
     served = queue.join(stock, ["expected_type", "place"]).select("generic", F.col("vehicle").alias("_free"))
-    usual = usage.most_used_vehicle(history).select("generic", "most_used")
+    usual = usage.most_used_vehicle(uses).select("generic", "most_used")
     filled = units.join(served, "generic", "left").join(usual, "generic", "left")
     none = F.col("expected_type").isNull()
     return filled.select(

@@ -1,4 +1,8 @@
-"""Vehicles run by contractors."""
+"""Vehicles run by contractors.
+
+The inputs ``contracted`` and ``direct`` are uses (see usage.unit_uses) joined
+with their shifts: unit, vehicle, logons, last logon and service.
+"""
 
 from __future__ import annotations
 
@@ -20,17 +24,17 @@ def alternate_unit(shifts: DataFrame, history: DataFrame) -> DataFrame:
     return joins.anti_missing(silent, "alt", units, "unid")
 
 
-def multi_group_vehicles(history: DataFrame) -> DataFrame:
+def multi_group_vehicles(contracted: DataFrame) -> DataFrame:
     """Use by (group, vehicle) of vehicles seen in more than one group."""
-    cells = (
-        history.withColumn("dgroup", codes.capital_group(F.col("unid")))
-        .groupBy("dgroup", "carid", "unid", "service")
-        .agg(F.count("*").alias("n"), F.to_date(F.max("cdts2")).alias("last_logon"))
-    )
-    by_group = cells.groupBy("dgroup", "carid").agg(
-        F.sum("n").alias("n"), F.max("last_logon").alias("last_logon"),
-        usage.text_list("unid").alias("units"), usage.text_list("service").alias("services"),
+    by_group = (
+        contracted.withColumn("dgroup", codes.capital_group(F.col("unid")))
+        .groupBy("dgroup", "carid")
+        .agg(
+            F.sum("n").alias("n"), F.to_date(F.max("last_logon")).alias("last_logon"),
+            usage.text_list("unid").alias("units"), usage.text_list("service").alias("services"),
+        )
     )
+    # One row per group of the vehicle; an unreadable group counts as one.
     groups = Window.partitionBy("carid")
     return (
         by_group.withColumn("_groups", F.count(F.lit(1)).over(groups))
@@ -39,11 +43,11 @@ def multi_group_vehicles(history: DataFrame) -> DataFrame:
     )
 
 
-def multi_service_vehicles(history: DataFrame) -> DataFrame:
+def multi_service_vehicles(contracted: DataFrame) -> DataFrame:
     """Use by (service, vehicle) of vehicles seen in more than one service."""
     services = Window.partitionBy("carid")
     return (
-        usage.vehicle_summary(history, "service")
+        usage.vehicle_summary(contracted, "service")
         .withColumn("_services", F.count(F.lit(1)).over(services))
         .where("_services > 1")
         .drop("_services")
@@ -78,8 +82,8 @@ def direct_majority(contracted: DataFrame, direct: DataFrame,
                     invalid: Sequence[str] = fixed.INVALID_CONTRACT_VEHICLES) -> DataFrame:
     """Vehicles used more by direct delivery than by contractors, and the
     listed invalid ones."""
-    theirs = contracted.groupBy("carid").agg(F.count("*").alias("n_c"))
-    ours = direct.groupBy("carid").agg(F.count("*").alias("n_d"))
+    theirs = contracted.groupBy("carid").agg(F.sum("n").alias("n_c"))
+    ours = direct.groupBy("carid").agg(F.sum("n").alias("n_d"))
     more = theirs.join(ours, "carid").where("n_d > n_c").select("carid")
     listed = small_table(contracted.sparkSession, ["carid"], [(vehicle,) for vehicle in invalid])
     return more.union(listed).distinct()
@@ -93,29 +97,34 @@ def contractor_vehicles(contracted: DataFrame, direct: DataFrame, legacy: DataFr
     The unit that logged on last is the lowest code among those of the last
     date. ``is_new`` marks vehicles missing from the legacy list.
     """
-    cells = usage.unit_cells(contracted, "service")
-    latest_first = F.struct(-F.unix_date("last_logon"), F.col("unid"))
-    pairs = cells.groupBy("service", "carid").agg(
-        F.sum("n").alias("n"), F.max("last_logon").alias("last_logon"),
+    latest_first = F.struct(-F.unix_date(F.to_date("last_logon")), F.col("unid"))
+    pairs = contracted.groupBy("service", "carid").agg(
+        F.sum("n").alias("n"), F.to_date(F.max("last_logon")).alias("last_logon"),
         usage.text_list("unid").alias("units"), F.min_by("unid", latest_first).alias("last_unit"),
     )
     # A vehicle of one service has no other service to lose to, so the winners
-    # are the rows at the vehicle's top count.
-    kept = attach_group_max(pairs).where("n = max_n").drop("max_n", "max_last")
-    kept = joins.anti_missing(kept, "carid", direct_majority(contracted, direct, invalid), "carid")
+    # are the rows at the vehicle's top count. The vehicle's total over its
+    # services stands beside it, so contracted uses are read once.
+    whole = Window.partitionBy("carid")
+    kept = pairs.withColumns({"_most": F.max("n").over(whole), "_all": F.sum("n").over(whole)})
+    kept = kept.where((F.col("n") == F.col("_most")) & ~F.col("carid").isin(list(invalid)))
+    ours = direct.groupBy(F.col("carid").alias("_direct")).agg(F.sum("n").alias("_n_d"))
+    kept = kept.join(ours, kept["carid"] == ours["_direct"], "left").where(
+        F.col("_n_d").isNull() | (F.col("_n_d") <= F.col("_all"))
+    )
     known = legacy.select(F.col("ehs_number").alias("_known")).distinct()
     return kept.join(known, kept["carid"] == known["_known"], "left").select(
-        *kept.columns, F.when(F.col("_known").isNull(), 1).otherwise(0).alias("is_new")
+        *pairs.columns, F.when(F.col("_known").isNull(), 1).otherwise(0).alias("is_new")
     )
 
 
-def vehicle_class(history: DataFrame) -> DataFrame:
+def vehicle_class(contracted: DataFrame) -> DataFrame:
     """Class of each vehicle from the letter of its most used unit.
 
     ``unit_class`` is null for a letter not listed; ``warning`` names an id
     shape unusual for the class.
     """
-    counts = history.groupBy("carid", "unid").agg(F.count("*").alias("n"))
+    counts = contracted.groupBy("carid", "unid").agg(F.sum("n").alias("n"))
     top = counts.groupBy("carid").agg(
         F.min_by("unid", F.struct(-F.col("n"), F.col("unid"))).alias("top_unit")
     )

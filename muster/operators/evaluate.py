@@ -11,24 +11,27 @@ from pyspark.sql import functions as F
 from muster.functions import codes, fixed
 from muster.operators import expected, joins
 from muster.operators.expected import PRODUCTION_TYPE
+from muster.session import cut
 
 
-def backtest_monthly(rows: DataFrame, *, k: int = 30, threshold: float = 0.5, weeks: int = 4,
+def backtest_monthly(cells: DataFrame, *, k: int = 30, threshold: float = 0.5, weeks: int = 4,
                      rank: Column | None = None) -> DataFrame:
     """Every four weeks: learn from all shifts up to the date, predict the next
     four weeks. One row per step with running totals.
 
-    Shifts are reduced to day counts. A day serves only the steps at which it
-    is among the unit's newest k days, so it is repeated for those steps
-    alone, not for every later one, and a (unit, step) group holds at most k
-    days. Steps are counted from the first date.
+    Cells (date, generic, vehicle_type, n) are reduced to day counts and
+    checkpointed, as bounds, training and scoring all read them. A day serves
+    only the steps at which it is among the unit's newest k days, so it is
+    repeated for those steps alone, not for every later one, and a
+    (unit, step) group holds at most k days. Steps are counted from the first
+    date.
     """
     if rank is None:
         rank = codes.listed_rank(F.col("vehicle_type"))
     stride = 7 * weeks
-    counts = rows.groupBy("generic", "date", "vehicle_type").agg(F.count("*").alias("n"))
-    start = rows.select(F.min("date")).scalar()
-    end = rows.select(F.max("date")).scalar()
+    counts = cut(cells.groupBy("generic", "date", "vehicle_type").agg(F.sum("n").alias("n")))
+    start = counts.select(F.min("date")).scalar()
+    end = counts.select(F.max("date")).scalar()
     # Number of the first step at or after a date.
     step_from = F.ceil(F.date_diff("date", start) / stride).cast("int")
     last_step = F.floor(F.date_diff(end, start) / stride).cast("int")
@@ -63,7 +66,7 @@ def backtest_monthly(rows: DataFrame, *, k: int = 30, threshold: float = 0.5, we
             F.sum(F.when(F.col("vehicle_type") == F.col("expected_type"), F.col("n")).otherwise(0)).alias("matches"),
         )
     )
-    spine = rows.sparkSession.range(0, 1, 1, 1).select(
+    spine = cells.sparkSession.range(0, 1, 1, 1).select(
         F.explode(F.sequence(F.lit(1), last_step)).alias("step"), start.alias("_start")
     )
     # One row per step: bounded by the calendar.

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.functions import codes, fixed
+from muster.operators import joins
+from muster.session import small_table
 
 
 def last_k_logons(history: DataFrame, k: int, *, unit: str = "generic", time: str = "cdts2",
@@ -69,30 +71,39 @@ def decide(counts: DataFrame, threshold: float, rank: Column, *, keys: Sequence[
     )
 
 
-def expected_type(history: DataFrame, *, k: int = 30, threshold: float = 0.6,
-                  unit: str = "generic", time: str = "cdts2", type_column: str = "vehicle_type",
-                  rank: Column | None = None) -> DataFrame:
-    """Expected type per unit with the fixed ranking; unknown types count as a
-    type of their own and rank lowest.
+def recent_logons(history: DataFrame, shifts: DataFrame, types: DataFrame, k: int) -> DataFrame:
+    """The newest k logons per generic unit with their vehicle type.
 
-    One shuffle: the rank window, the counts and the decision all use the
-    same partitioning by unit.
+    History is cut to k logons per unit before anything is joined: the newest
+    k of a generic unit are among the newest k of each of its crews. So the
+    joins read k logons per unit, and the shuffle on unit serves both the cut
+    and the join with shifts. ``types`` holds a vehicle once; ``shifts`` carry
+    the generic code.
+    """
+    near = last_k_logons(history.select("unid", "carid", "cdts2"), k, unit="unid")
+    units = shifts.select("unit_name", "generic")
+    return joins.history_types(last_k_logons(joins.history_shifts(near, units), k), types)
+
+
+def expected_type(recent: DataFrame, *, threshold: float = 0.6, unit: str = "generic",
+                  type_column: str = "vehicle_type", rank: Column | None = None) -> DataFrame:
+    """Expected type per unit from its newest logons (recent_logons), with the
+    fixed ranking. An unknown type counts as a type of its own and ranks lowest.
     """
     if rank is None:
         rank = codes.listed_rank(F.col(type_column))
-    recent = last_k_logons(history, k, unit=unit, time=time)
     counts = recent.groupBy(unit, type_column).agg(F.count("*").alias("n"))
     return decide(counts, threshold, rank, keys=[unit], type_column=type_column)
 
 
-def expected_type_by_day(rows: DataFrame, *, k: int = 30, threshold: float = 0.5,
+def expected_type_by_day(cells: DataFrame, *, k: int = 30, threshold: float = 0.5,
                          rank: Column | None = None) -> DataFrame:
-    """As expected_type with recency by date, where a date may hold very many
-    shifts: shifts are counted by (unit, date, type) first, the newest k dates
-    kept, then the dates that the k newest shifts reach."""
+    """Expected type with recency by date, where a date may hold very many
+    shifts. From counted cells (date, generic, vehicle_type, n): the newest k
+    dates first, then the dates that the k newest shifts reach."""
     if rank is None:
         rank = codes.listed_rank(F.col("vehicle_type"))
-    days = rows.groupBy("generic", "date", "vehicle_type").agg(F.count("*").alias("n"))
+    days = cells.groupBy("generic", "date", "vehicle_type").agg(F.sum("n").alias("n"))
     newest = Window.partitionBy("generic").orderBy(F.desc("date"))
     near = days.withColumn("_place", F.dense_rank().over(newest)).where(F.col("_place") <= k)
     recent = within_last_k(near, k, keys=["generic"])
@@ -118,8 +129,6 @@ def within_last_k(days: DataFrame, k: int, *, keys: Sequence[str]) -> DataFrame:
 
 def type_rank_table(spark) -> DataFrame:
     """The fixed ranking as a table."""
-    from muster.session import small_table
-
     return small_table(
         spark, ["place", "vehicle_type"],
         [(place, name) for place, name in enumerate(fixed.TYPE_RANKING, 1)],

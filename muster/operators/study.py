@@ -1,11 +1,14 @@
 """How vehicle types change over time, and how well simple rules predict them.
 
-Consecutive shifts of a unit are ordered by (date, vehicle, type). Shifts equal
-in all three are interchangeable, so history is first reduced to cells: one
-row per (generic, date, vehicle, type) with a count. A cell of n shifts holds
-n - 1 unchanged steps. Cells are then read in slices of one calendar period
-per unit and the slices' edges are stitched, so no task ever sorts the whole
-history of a unit, however large that unit is.
+All operators read cells: one row per (date, unit, vehicle) with the number of
+shifts, counted before any join, so the joins with shifts and types never see
+single logons and a unit or vehicle with a large share of them shrinks first.
+
+Consecutive shifts of a generic unit are ordered by (date, vehicle, type);
+shifts equal in all three are interchangeable, so n equal shifts are n - 1
+unchanged steps. The order is read in slices of one calendar period per unit
+and the slices' edges are stitched, so no task sorts the whole history of a
+unit, however large that unit is.
 """
 
 from __future__ import annotations
@@ -16,95 +19,107 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.functions import codes, fixed
+from muster.operators import joins
+from muster.session import cut
 
 ORDER = ["date", "carid", "vehicle_type"]
 
 
-def study_rows(history: DataFrame) -> DataFrame:
-    """Shifts with a known type: date, unit, generic unit, vehicle, type,
-    district, unit letter and dispatch group."""
-    return history.where(F.col("vehicle_type").isNotNull()).select(
-        F.to_date("cdts2").alias("date"), "unid", "generic", "carid", "vehicle_type", "district",
+def study_cells(history: DataFrame, shifts: DataFrame, types: DataFrame) -> DataFrame:
+    """Shifts with a known type, counted: date, unit, generic unit, vehicle,
+    type, district, unit letter, dispatch group and n. ``shifts`` carry the
+    generic code."""
+    days = history.groupBy("unid", F.to_date("cdts2").alias("date"), "carid").agg(F.count("*").alias("n"))
+    units = shifts.select("unit_name", "generic", "district")
+    typed = joins.history_types(joins.history_shifts(days, units), types)
+    return typed.where(F.col("vehicle_type").isNotNull()).select(
+        "date", "unid", "generic", "carid", "vehicle_type", "district",
         codes.unit_letter(F.col("unid")).alias("letter"),
-        F.substring("generic", 1, 4).alias("dgroup"),
+        F.substring("generic", 1, 4).alias("dgroup"), "n",
     )
 
 
-def cells(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("generic", *ORDER).agg(F.count("*").alias("n"))
+def type_frequency(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("vehicle_type").agg(F.sum("n").alias("n"))
 
 
-def type_frequency(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("vehicle_type").agg(F.count("*").alias("n"))
+def types_per_unit(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("generic").agg(F.count_distinct("vehicle_type").alias("types"))
 
 
-def types_per_unit(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("generic").agg(F.count_distinct("vehicle_type").alias("types"))
+def types_per_unit_histogram(cells: DataFrame) -> DataFrame:
+    return types_per_unit(cells).groupBy("types").agg(F.count("*").alias("units"))
 
 
-def types_per_unit_histogram(rows: DataFrame) -> DataFrame:
-    return types_per_unit(rows).groupBy("types").agg(F.count("*").alias("units"))
-
-
-def with_kind(rows: DataFrame) -> DataFrame:
+def with_kind(cells: DataFrame) -> DataFrame:
     """Unit letter with A and B merged."""
-    return rows.withColumn(
+    return cells.withColumn(
         "kind", F.when(F.col("letter").isin("A", "B"), "A/B").otherwise(F.col("letter"))
     )
 
 
-def types_per_group(rows: DataFrame) -> DataFrame:
-    return with_kind(rows).groupBy("dgroup", "kind").agg(F.count_distinct("vehicle_type").alias("types"))
+def types_per_group(cells: DataFrame) -> DataFrame:
+    return with_kind(cells).groupBy("dgroup", "kind").agg(F.count_distinct("vehicle_type").alias("types"))
 
 
-def types_per_group_histogram(rows: DataFrame) -> DataFrame:
-    return types_per_group(rows).groupBy("types").agg(F.count("*").alias("groups"))
+def types_per_group_histogram(cells: DataFrame) -> DataFrame:
+    return types_per_group(cells).groupBy("types").agg(F.count("*").alias("groups"))
 
 
-def dominant_type(rows: DataFrame) -> DataFrame:
+def dominant_type(cells: DataFrame) -> DataFrame:
     """Most used type by (group, kind); lowest code on a tie."""
-    counts = with_kind(rows).groupBy("dgroup", "kind", "vehicle_type").agg(F.count("*").alias("n"))
+    counts = with_kind(cells).groupBy("dgroup", "kind", "vehicle_type").agg(F.sum("n").alias("n"))
     return counts.groupBy("dgroup", "kind").agg(
         F.min_by("vehicle_type", F.struct(-F.col("n"), F.col("vehicle_type"))).alias("dominant"),
         F.max("n").alias("n"),
     )
 
 
-def _sliced(rows: DataFrame, period: str) -> DataFrame:
-    return cells(rows).withColumn("slice", F.trunc("date", period))
+def _sliced(cells: DataFrame, period: str) -> DataFrame:
+    ordered = cells.groupBy("generic", *ORDER).agg(F.sum("n").alias("n"))
+    return ordered.withColumn("slice", F.trunc("date", period))
+
 
+def type_transitions(cells: DataFrame, *, cap: int = 10_000, period: str = "month") -> DataFrame:
+    """Count by (current type, type of the shift before), and the capped count.
 
-def type_transitions(rows: DataFrame, *, cap: int = 10_000, period: str = "month") -> DataFrame:
-    """Count by (current type, type of the shift before), and the capped count."""
-    by_slice = _sliced(rows, period)
+    A slice is reduced to its counts by pair of types, its first and its last
+    type. The step between two slices is added when they are stitched.
+    """
     inside = Window.partitionBy("generic", "slice").orderBy(*ORDER)
-    stepped = by_slice.withColumn("_before", F.lag("vehicle_type").over(inside))
-    within = stepped.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("vehicle_type").alias("curr"), F.col("vehicle_type").alias("prev"),
-                    (F.col("n") - 1).alias("n"),
-                ),
-                F.struct(
-                    F.col("vehicle_type").alias("curr"), F.col("_before").alias("prev"),
-                    F.lit(1).cast("bigint").alias("n"),
-                ),
-            )
-        )
-    ).where("n > 0 AND prev IS NOT NULL")
-    position = F.struct("date", "carid", "vehicle_type")
-    edges = by_slice.groupBy("generic", "slice").agg(
-        F.min_by("vehicle_type", position).alias("first"), F.max_by("vehicle_type", position).alias("last")
+    name = F.col("vehicle_type")
+    nothing = F.lit(None).cast("string")
+    one = F.lit(1).cast("bigint")
+
+    def step(curr, prev, n):
+        return F.struct(curr.alias("curr"), prev.alias("prev"), n.alias("n"))
+
+    stepped = _sliced(cells, period).select(
+        "generic", "slice", "vehicle_type", "n",
+        F.lag("vehicle_type").over(inside).alias("_before"), F.lead("vehicle_type").over(inside).alias("_after"),
     )
-    across = Window.partitionBy("generic").orderBy("slice")
-    between = (
-        edges.select(F.col("first").alias("curr"), F.lag("last").over(across).alias("prev"))
-        .where("prev IS NOT NULL")
-        .withColumn("n", F.lit(1).cast("bigint"))
+    # A missing previous type marks the slice's first row, a missing current
+    # type its last one.
+    last = F.when(F.col("_after").isNull(), step(nothing, name, one))
+    parts = F.array_compact(F.array(step(name, name, F.col("n") - 1), step(name, F.col("_before"), one), last))
+    pairs = (
+        stepped.select("generic", "slice", F.inline(parts))
+        .where("n > 0")
+        .groupBy("generic", "slice", "curr", "prev")
+        .agg(F.sum("n").alias("n"))
     )
+    whole = F.col("curr").isNotNull() & F.col("prev").isNotNull()
+    slices = pairs.groupBy("generic", "slice").agg(
+        F.collect_list(F.when(whole, F.struct("curr", "prev", "n"))).alias("steps"),
+        F.max(F.when(F.col("prev").isNull(), F.col("curr"))).alias("first"),
+        F.max(F.when(F.col("curr").isNull(), F.col("prev"))).alias("last"),
+    )
+    across = Window.partitionBy("generic").orderBy("slice")
+    between = F.array(step(F.col("first"), F.lag("last").over(across), one))
     return (
-        within.unionByName(between)
+        slices.select("steps", between.alias("between"))
+        .select(F.inline(F.concat("steps", "between")))
+        .where("prev IS NOT NULL")
         .groupBy("curr", "prev")
         .agg(F.sum("n").alias("n"))
         .withColumn("n_capped", F.least("n", F.lit(cap).cast("bigint")))
@@ -132,7 +147,7 @@ def change_rate(transitions: DataFrame) -> DataFrame:
     ).withColumn("percent", F.try_divide("changes", "steps") * 100)
 
 
-def type_runs(rows: DataFrame, *, period: str = "month") -> DataFrame:
+def type_runs(cells: DataFrame, *, period: str = "month") -> DataFrame:
     """Lengths of runs of one type per unit, the unit's first shift left out.
 
     Runs are cut at slice borders first. Runs that touch no border are final;
@@ -140,14 +155,15 @@ def type_runs(rows: DataFrame, *, period: str = "month") -> DataFrame:
     """
     inside = Window.partitionBy("generic", "slice").orderBy(*ORDER)
     changed = F.when(F.col("vehicle_type") == F.lag("vehicle_type").over(inside), 0).otherwise(1)
-    marked = _sliced(rows, period).withColumn("_change", changed)
+    marked = _sliced(cells, period).withColumn("_change", changed)
     numbered = marked.withColumn(
         "run", F.sum("_change").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
     runs = numbered.groupBy("generic", "slice", "run").agg(
         F.first("vehicle_type").alias("vehicle_type"), F.sum("n").alias("length")
     )
-    runs = runs.withColumn("_last", F.max("run").over(Window.partitionBy("generic", "slice")))
+    # Two branches read the runs, so they are written once.
+    runs = cut(runs.withColumn("_last", F.max("run").over(Window.partitionBy("generic", "slice"))))
     edge = (F.col("run") == 1) | (F.col("run") == F.col("_last"))
     final = runs.where(~edge).select("generic", "vehicle_type", "length")
 
@@ -178,7 +194,7 @@ def run_histogram(runs: DataFrame, *, width: int = 5) -> DataFrame:
     return runs.groupBy(start).agg(F.count("*").alias("runs"))
 
 
-def rule_accuracy(rows: DataFrame, defaults=fixed.UNIT_KIND_DEFAULTS) -> DataFrame:
+def rule_accuracy(cells: DataFrame, defaults=fixed.UNIT_KIND_DEFAULTS) -> DataFrame:
     """Share of shifts with the right type under two rules.
 
     ``letter``: the type assumed for the unit letter. ``group``: the most used
@@ -186,7 +202,7 @@ def rule_accuracy(rows: DataFrame, defaults=fixed.UNIT_KIND_DEFAULTS) -> DataFra
     matches by the letter rule's rows; ``reference_share`` is that ratio.
     """
     table = F.create_map(*[F.lit(part) for pair in defaults for part in pair])
-    counts = with_kind(rows).groupBy("dgroup", "kind", "letter", "vehicle_type").agg(F.count("*").alias("n"))
+    counts = with_kind(cells).groupBy("dgroup", "kind", "letter", "vehicle_type").agg(F.sum("n").alias("n"))
     assumed = F.try_element_at(table, F.col("letter"))
     letter = counts.agg(
         F.sum(F.when(assumed == F.col("vehicle_type"), F.col("n"))).alias("matches"),

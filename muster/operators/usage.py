@@ -1,9 +1,10 @@
 """Counts of vehicle use.
 
-Every operator first reduces logons to one row per (group, vehicle) or
-(unit, vehicle). That step combines on the map side, so a vehicle or unit
-holding a large share of all logons shrinks before the shuffle, and the lists
-built later only ever see distinct units or groups.
+Logons are first reduced to uses: one row per (unit, vehicle) with the number
+of logons and the last one. That step combines on the map side and comes before
+every join, so a vehicle or unit that holds a large share of all logons shrinks
+where it lies. All later steps read uses; the lists they build only ever see
+distinct units or groups.
 """
 
 from __future__ import annotations
@@ -20,12 +21,20 @@ def text_list(column: str) -> Column:
     return F.array_join(F.array_sort(F.collect_set(column)), ";")
 
 
-def usage_counts(history: DataFrame) -> DataFrame:
+def unit_uses(history: DataFrame) -> DataFrame:
+    """One row per (unit, vehicle): logons and last logon. Filters on unit or
+    vehicle applied to the result reach the scan."""
+    return history.groupBy("unid", "carid").agg(
+        F.count("*").alias("n"), F.max("cdts2").alias("last_logon")
+    )
+
+
+def usage_counts(uses: DataFrame) -> DataFrame:
     """Logons and last logon by (dispatch group, vehicle)."""
     return (
-        history.withColumn("dgroup", codes.dispatch_group(F.col("unid")))
+        uses.withColumn("dgroup", codes.dispatch_group(F.col("unid")))
         .groupBy("dgroup", "carid")
-        .agg(F.count("*").alias("n"), F.max("cdts2").alias("last_logon"))
+        .agg(F.sum("n").alias("n"), F.max("last_logon").alias("last_logon"))
     )
 
 
@@ -81,32 +90,23 @@ def recent_usage(history: DataFrame, *, since: dt.date, at_least: int = 2) -> Da
     )
 
 
-def unit_cells(history: DataFrame, *keys: str) -> DataFrame:
-    """One row per (keys, vehicle, unit): logons and last logon date."""
-    return history.groupBy(*keys, "carid", "unid").agg(
-        F.count("*").alias("n"), F.to_date(F.max("cdts2")).alias("last_logon")
-    )
-
-
-def vehicle_summary(history: DataFrame, *keys: str) -> DataFrame:
+def vehicle_summary(uses: DataFrame, *keys: str) -> DataFrame:
     """Logons, last date and units by vehicle, or by (keys, vehicle)."""
-    return (
-        unit_cells(history, *keys)
-        .groupBy(*keys, "carid")
-        .agg(F.sum("n").alias("n"), F.max("last_logon").alias("last_logon"), text_list("unid").alias("units"))
+    return uses.groupBy(*keys, "carid").agg(
+        F.sum("n").alias("n"), F.to_date(F.max("last_logon")).alias("last_logon"), text_list("unid").alias("units")
     )
 
 
-def infrequent_vehicles(history: DataFrame, *, fewer_than: int = 5) -> DataFrame:
+def infrequent_vehicles(uses: DataFrame, *, fewer_than: int = 5) -> DataFrame:
     """Vehicles with few logons. The report is sorted by the numeric id."""
-    return vehicle_summary(history).where(F.col("n") < fewer_than).withColumn(
+    return vehicle_summary(uses).where(F.col("n") < fewer_than).withColumn(
         "sort_id", codes.whole_number(F.col("carid"))
     )
 
 
-def most_used_vehicle(history: DataFrame, unit: str = "generic") -> DataFrame:
+def most_used_vehicle(uses: DataFrame, unit: str = "generic") -> DataFrame:
     """Most used vehicle of each unit over all history; lowest id on a tie."""
-    counts = history.where(F.col("carid").isNotNull()).groupBy(unit, "carid").agg(F.count("*").alias("n"))
+    counts = uses.where(F.col("carid").isNotNull()).groupBy(unit, "carid").agg(F.sum("n").alias("n"))
     return counts.groupBy(unit).agg(
         F.min_by("carid", F.struct(-F.col("n"), F.col("carid"))).alias("most_used"),
         F.max("n").alias("n"),

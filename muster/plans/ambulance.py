@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from muster.operators import filters, fleet, joins, publish, usage
 
 
-def logons(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
-    """Logons of direct-delivery ambulance crews on numeric ids of at most four digits."""
-    kept = filters.short_vehicles(filters.ambulance_units(filters.numeric_vehicles(history)))
+def uses(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
+    """Uses by direct-delivery ambulance crews of numeric ids of at most four digits."""
+    all_uses = usage.unit_uses(history)
+    kept = filters.short_vehicles(filters.ambulance_units(filters.numeric_vehicles(all_uses)))
     direct = filters.ambulance_units(filters.direct_shifts(shifts, as_of=as_of), "unit_name")
     return joins.semi_in(kept, "unid", direct, "unit_name")
 
@@ -20,7 +21,7 @@ def logons(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> DataFram
 def described(history: DataFrame, shifts: DataFrame, assets: DataFrame, mapping: DataFrame,
               legacy: DataFrame, *, as_of: dt.date) -> DataFrame:
     """Routine vehicles with fleet record, mapped unit type and legacy type."""
-    routine = usage.routine_vehicles(usage.usage_counts(logons(history, shifts, as_of=as_of)))
+    routine = usage.routine_vehicles(usage.usage_counts(uses(history, shifts, as_of=as_of)))
     with_record = joins.routine_fleet(routine, filters.in_service_fleet(assets))
     return joins.legacy_types(joins.config_lookup(with_record, mapping), legacy)
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
-from muster.operators import contractors, filters, forms, joins
+from muster.operators import contractors, filters, forms, joins, usage
 
 
 def contracted_units(shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
@@ -17,21 +17,25 @@ def direct_units(shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
     return filters.road_units(filters.direct_shifts(shifts, as_of=as_of), "unit_name", dash=False)
 
 
-def contracted_logons(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
-    road = filters.road_units(history, "carid", dash=False)
-    return joins.keyed_inner(road, contracted_units(shifts, as_of=as_of))
+def road_uses(history: DataFrame) -> DataFrame:
+    return filters.road_units(usage.unit_uses(history), "carid", dash=False)
 
 
-def direct_logons(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
-    road = filters.road_units(history, "carid", dash=False)
-    return joins.keyed_inner(road, direct_units(shifts, as_of=as_of))
+def contracted_uses(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
+    units = contracted_units(shifts, as_of=as_of).select("unit_name", "service")
+    return joins.keyed_inner(road_uses(history), units)
+
+
+def direct_uses(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
+    units = direct_units(shifts, as_of=as_of).select("unit_name", "service")
+    return joins.keyed_inner(road_uses(history), units)
 
 
 def run(history: DataFrame, shifts: DataFrame, legacy: DataFrame, *, as_of: dt.date) -> dict[str, DataFrame]:
     """Vehicle list, and the rows of both survey forms."""
-    contracted = contracted_logons(history, shifts, as_of=as_of)
+    contracted = contracted_uses(history, shifts, as_of=as_of)
     vehicles = contractors.contractor_vehicles(
-        contracted, direct_logons(history, shifts, as_of=as_of), legacy
+        contracted, direct_uses(history, shifts, as_of=as_of), legacy
     )
     classes = contractors.vehicle_class(contracted)
     classed = vehicles.join(classes, "carid")

@@ -3,30 +3,54 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from muster.operators import assign, expected, filters, joins, publish, study
+from muster.functions import fixed
+from muster.operators import assign, expected, filters, joins, publish, usage
+from muster.operators.study import study_cells
 from muster.session import cut
 from muster.sources import tables
 
 
-def ground_history(history: DataFrame, shifts: DataFrame, types: DataFrame) -> DataFrame:
-    """Logons of active ground units with vehicle type."""
-    return joins.history_types(joins.history_shifts(history, filters.ground_units(shifts)), types)
+def recent_ground(history: DataFrame, shifts: DataFrame, types: DataFrame, *, k: int = 30) -> DataFrame:
+    """Newest k logons of every active ground unit with vehicle type."""
+    return expected.recent_logons(history, filters.ground_units(shifts), types, k)
 
 
-def study_history(history: DataFrame, shifts: DataFrame, types: DataFrame, *, kinds, cities) -> DataFrame:
-    """Study rows: shifts of system-planned ground units with a known type."""
+def ground_uses(history: DataFrame, shifts: DataFrame) -> DataFrame:
+    """Uses of all ground units over all history by (generic, vehicle)."""
+    units = filters.ground_units(shifts).select("unit_name", "generic")
+    known = joins.history_shifts(usage.unit_uses(history), units)
+    return known.groupBy("generic", "carid").agg(F.sum("n").alias("n"))
+
+
+def study(history: DataFrame, shifts: DataFrame, types: DataFrame, *, kinds=fixed.STUDY_GROUND_KINDS,
+          cities=fixed.CITY_GROUPS) -> DataFrame:
+    """Study cells: shifts of system-planned ground units with a known type."""
     planned = filters.planned_units(filters.ground_units(shifts, kinds=kinds), cities=cities)
-    return study.study_rows(joins.history_types(joins.history_shifts(history, planned), types))
+    return study_cells(history, planned, types)
+
+
+def first_pass(history: DataFrame, shifts: DataFrame, types: DataFrame, *, k: int = 30,
+               threshold: float = 0.6) -> dict[str, DataFrame]:
+    """Types, vehicles taken in turn, and the uses both build on.
+
+    The recent logons and the uses are checkpointed: the history is read once
+    for each, and the rounds of the assignment start from what was written.
+    """
+    recent = cut(recent_ground(history, shifts, types, k=k))
+    uses = cut(ground_uses(history, shifts))
+    order = assign.unit_order(uses)
+    types_by_unit = expected.expected_type(recent, threshold=threshold)
+    taken = assign.default_vehicle(recent, types_by_unit, order)
+    return {"types": types_by_unit, "taken": taken, "order": order, "uses": uses}
 
 
 def ground_assignments(history: DataFrame, shifts: DataFrame, types: DataFrame, *, k: int = 30,
                        threshold: float = 0.6) -> DataFrame:
     """Type and vehicle of each ground unit."""
-    rows = ground_history(history, shifts, types)
-    types_by_unit = cut(expected.expected_type(rows, k=k, threshold=threshold))
-    first = assign.default_vehicle(rows, types_by_unit, k=k)
-    return assign.default_vehicle_fill(rows, types_by_unit, first, types)
+    done = first_pass(history, shifts, types, k=k, threshold=threshold)
+    return assign.default_vehicle_fill(done["types"], done["taken"], done["order"], done["uses"], types)
 
 
 def run(history: DataFrame, shifts: DataFrame, types: DataFrame, *aircraft: DataFrame, k: int = 30,

@@ -9,15 +9,20 @@ from pyspark.sql import DataFrame
 
 from muster.functions import fixed
 from muster.operators import evaluate, expected, filters, publish
+from muster.session import cut
 from muster.sources import tables
 
 
 def rows(history: DataFrame, workload: DataFrame, inventory: DataFrame, register: DataFrame, *,
          apply_filter: bool = False) -> DataFrame:
-    """Logons of all active units with type key, default type and grouped unit."""
+    """Logons of all active units with type key, default type and grouped unit.
+
+    At most 90 logons per unit. They are checkpointed, as counting, defaults,
+    splitting and every setting of a test read them again.
+    """
     shifts = filters.crew_shift_filter(tables.shifts(inventory), apply_filter=apply_filter)
-    return expected.production_rows(
-        expected.read_history(history, workload), shifts, tables.vehicle_types(register)
+    return cut(
+        expected.production_rows(expected.read_history(history, workload), shifts, tables.vehicle_types(register))
     )
 
 

@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from muster.functions import codes, fixed
-from muster.operators import assign, evaluate, expected, filters, joins, publish, study, usage
+from muster.operators import evaluate, expected, joins, publish, study, usage
 from muster.plans import expected as expected_plan
 from muster.plans import production
-from muster.queries.registry import AS_OF, query
+from muster.queries.registry import query
 from muster.queries.views import SQL_VIEWS
 from muster.sources import tables
 
@@ -223,17 +223,16 @@ SQL_VIEWS.update(
 )
 
 
-def ground_history(t):
-    return expected_plan.ground_history(
-        t.unit_history, t.shift_inventory, tables.active_vehicle_types(t.vehicle_types)
-    )
+def active_types(t):
+    return tables.active_vehicle_types(t.vehicle_types)
 
 
-def study_rows(t):
-    return expected_plan.study_history(
-        t.long_history, t.shift_inventory, tables.active_vehicle_types(t.vehicle_types),
-        kinds=fixed.STUDY_GROUND_KINDS, cities=CITIES,
-    )
+def recent_ground(t):
+    return expected_plan.recent_ground(t.unit_history, t.shift_inventory, active_types(t))
+
+
+def study_cells(t):
+    return expected_plan.study(t.long_history, t.shift_inventory, active_types(t), cities=CITIES)
 
 
 def production_rows(t):
@@ -243,19 +242,23 @@ def production_rows(t):
 # Type changes ------------------------------------------------------------
 
 
-@query("study_rows", "SELECT date, unid, generic, carid, vehicle_type, district, letter, dgroup FROM {study}")
+@query(
+    "study_cells",
+    """SELECT date, unid, generic, carid, vehicle_type, district, letter, dgroup, count(*) AS n
+       FROM {study} GROUP BY ALL""",
+)
 def _(t):
-    return study_rows(t)
+    return study_cells(t)
 
 
 @query("type_frequency", "SELECT vehicle_type, count(*) AS n FROM {study} GROUP BY 1")
 def _(t):
-    return study.type_frequency(study_rows(t))
+    return study.type_frequency(study_cells(t))
 
 
 @query("types_per_unit", "SELECT generic, count(DISTINCT vehicle_type) AS types FROM {study} GROUP BY 1")
 def _(t):
-    return study.types_per_unit(study_rows(t))
+    return study.types_per_unit(study_cells(t))
 
 
 @query(
@@ -264,12 +267,12 @@ def _(t):
        GROUP BY 1) GROUP BY 1""",
 )
 def _(t):
-    return study.types_per_unit_histogram(study_rows(t))
+    return study.types_per_unit_histogram(study_cells(t))
 
 
 @query("types_per_group", "SELECT dgroup, kind, count(DISTINCT vehicle_type) AS types FROM {study} GROUP BY 1, 2")
 def _(t):
-    return study.types_per_group(study_rows(t))
+    return study.types_per_group(study_cells(t))
 
 
 @query(
@@ -278,12 +281,12 @@ def _(t):
        GROUP BY 1, 2) GROUP BY 1""",
 )
 def _(t):
-    return study.types_per_group_histogram(study_rows(t))
+    return study.types_per_group_histogram(study_cells(t))
 
 
 @query("dominant_type", "SELECT dgroup, kind, dominant, n FROM {dominant}")
 def _(t):
-    return study.dominant_type(study_rows(t))
+    return study.dominant_type(study_cells(t))
 
 
 @query(
@@ -291,7 +294,7 @@ def _(t):
     "SELECT curr, prev, n, CASE WHEN n > 10000 THEN 10000 ELSE n END AS n_capped FROM {transitions}",
 )
 def _(t):
-    return study.type_transitions(study_rows(t))
+    return study.type_transitions(study_cells(t))
 
 
 MATRIX_TYPES = ["AA002N", "AA002S", "DS013", "GhostVehicle", "SC013", "SC113", "SC114", "SS002A.450", "SS002H.250", "WA002N"]
@@ -307,7 +310,7 @@ MATRIX_TYPES = ["AA002N", "AA002S", "DS013", "GhostVehicle", "SC013", "SC113", "
     + " FROM {transitions} GROUP BY curr",
 )
 def _(t):
-    matrix = study.transition_matrix(study.type_transitions(study_rows(t)), MATRIX_TYPES)
+    matrix = study.transition_matrix(study.type_transitions(study_cells(t)), MATRIX_TYPES)
     return matrix.toDF(*[name.replace(".", "_") for name in matrix.columns])
 
 
@@ -317,7 +320,7 @@ def _(t):
          n / sum(n) OVER (PARTITION BY curr) AS share FROM {transitions}""",
 )
 def _(t):
-    return study.transition_share(study.type_transitions(study_rows(t)))
+    return study.transition_share(study.type_transitions(study_cells(t)))
 
 
 @query(
@@ -327,42 +330,44 @@ def _(t):
        FROM {ordered_study} WHERE prev IS NOT NULL""",
 )
 def _(t):
-    return study.change_rate(study.type_transitions(study_rows(t)))
+    return study.change_rate(study.type_transitions(study_cells(t)))
 
 
 @query("type_runs", "SELECT generic, vehicle_type, length FROM {runs}")
 def _(t):
-    return study.type_runs(study_rows(t))
+    return study.type_runs(study_cells(t))
 
 
 @query("long_runs", "SELECT generic, vehicle_type, length FROM {runs} WHERE length > 5")
 def _(t):
-    return study.long_runs(study.type_runs(study_rows(t)))
+    return study.long_runs(study.type_runs(study_cells(t)))
 
 
 @query("run_histogram", "SELECT CAST(length // 5 * 5 AS BIGINT) AS from_length, count(*) AS runs FROM {runs} GROUP BY 1")
 def _(t):
-    return study.run_histogram(study.type_runs(study_rows(t)))
+    return study.run_histogram(study.type_runs(study_cells(t)))
 
 
 @query(
     "default_by_kind",
-    """SELECT unid, date, vehicle_type, CASE letter WHEN 'T' THEN 'AA002N' ELSE 'SC113' END AS assumed_type
-       FROM {study} WHERE letter IN ('A', 'B', 'T', 'W', 'C')""",
+    """SELECT unid, date, carid, vehicle_type, CASE letter WHEN 'T' THEN 'AA002N' ELSE 'SC113' END AS assumed_type,
+         count(*) AS n FROM {study} WHERE letter IN ('A', 'B', 'T', 'W', 'C') GROUP BY ALL""",
 )
 def _(t):
-    return joins.default_by_kind(study_rows(t)).select("unid", "date", "vehicle_type", "assumed_type")
+    return joins.default_by_kind(study_cells(t)).select(
+        "unid", "date", "carid", "vehicle_type", "assumed_type", "n"
+    )
 
 
 @query(
     "group_default",
-    """SELECT s.unid, s.date, s.vehicle_type, d.dominant FROM {study} s
-       JOIN {dominant} d ON s.dgroup = d.dgroup AND s.kind = d.kind""",
+    """SELECT s.unid, s.date, s.carid, s.vehicle_type, d.dominant, count(*) AS n FROM {study} s
+       JOIN {dominant} d ON s.dgroup = d.dgroup AND s.kind = d.kind GROUP BY ALL""",
 )
 def _(t):
-    rows = study_rows(t)
-    return joins.group_default(study.with_kind(rows), study.dominant_type(rows).drop("n")).select(
-        "unid", "date", "vehicle_type", "dominant"
+    cells = study_cells(t)
+    return joins.group_default(study.with_kind(cells), study.dominant_type(cells).drop("n")).select(
+        "unid", "date", "carid", "vehicle_type", "dominant", "n"
     )
 
 
@@ -376,7 +381,7 @@ def _(t):
        UNION ALL SELECT 'group', g.m, g.s, g.m / g.s, g.m / (SELECT s FROM l) FROM g""",
 )
 def _(t):
-    return study.rule_accuracy(study_rows(t))
+    return study.rule_accuracy(study_cells(t))
 
 
 # Expected types ----------------------------------------------------------
@@ -384,7 +389,7 @@ def _(t):
 
 @query("last_k_logons", "SELECT generic, unid, carid, cdts2, vehicle_type FROM {recent_30}")
 def _(t):
-    return expected.last_k_logons(ground_history(t), 30).select("generic", "unid", "carid", "cdts2", "vehicle_type")
+    return recent_ground(t).select("generic", "unid", "carid", "cdts2", "vehicle_type")
 
 
 @query(
@@ -404,12 +409,12 @@ def _(t):
          SELECT generic, carid, count(*) AS n FROM {ground_history} WHERE carid IS NOT NULL GROUP BY 1, 2) GROUP BY 1""",
 )
 def _(t):
-    return usage.most_used_vehicle(ground_history(t))
+    return usage.most_used_vehicle(expected_plan.ground_uses(t.unit_history, t.shift_inventory))
 
 
 @query("expected_type", "SELECT generic, expected_type, reason, logons FROM {unit_types}")
 def _(t):
-    return expected.expected_type(ground_history(t))
+    return expected.expected_type(recent_ground(t))
 
 
 @query(
@@ -423,7 +428,7 @@ def _(t):
     ),
 )
 def _(t):
-    return expected.expected_type_by_day(study_rows(t))
+    return expected.expected_type_by_day(study_cells(t))
 
 
 @query(
@@ -474,14 +479,13 @@ def _(t):
 
 @query("default_vehicle", "SELECT generic, default_vehicle FROM {walk}")
 def _(t):
-    rows = ground_history(t)
-    return assign.default_vehicle(rows, expected.expected_type(rows))
+    return expected_plan.first_pass(t.unit_history, t.shift_inventory, active_types(t))["taken"]
 
 
 @query("default_vehicle_fill", "SELECT generic, expected_type, default_vehicle, source FROM {assigned}")
 def _(t):
     return expected_plan.ground_assignments(
-        t.unit_history, t.shift_inventory, tables.active_vehicle_types(t.vehicle_types)
+        t.unit_history, t.shift_inventory, active_types(t)
     )
 
 
@@ -496,7 +500,7 @@ def _(t):
 )
 def _(t):
     return expected_plan.run(
-        t.unit_history, t.shift_inventory, tables.active_vehicle_types(t.vehicle_types), t.aircraft_expected
+        t.unit_history, t.shift_inventory, active_types(t), t.aircraft_expected
     )
 
 
@@ -636,4 +640,4 @@ def _(t):
        FROM steps p LEFT JOIN scored c ON p.step = c.step""",
 )
 def _(t):
-    return evaluate.backtest_monthly(study_rows(t))
+    return evaluate.backtest_monthly(study_cells(t))

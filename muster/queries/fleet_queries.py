@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from muster.operators import contractors, evaluate, filters, fleet, forms, joins, publish, study, usage
+from muster.operators import contractors, filters, fleet, forms, joins, publish, usage
 from muster.plans import ambulance, contractor, suv
 from muster.queries.registry import AS_OF, query
 from muster.queries.views import SQL_VIEWS
@@ -95,20 +95,16 @@ SQL_VIEWS.update(
 )
 
 
-def ambulance_logons(t):
-    return ambulance.logons(t.unit_history, t.shift_inventory, as_of=AS_OF)
-
-
 def group_usage(t):
-    return usage.usage_counts(ambulance_logons(t))
+    return usage.usage_counts(ambulance.uses(t.unit_history, t.shift_inventory, as_of=AS_OF))
 
 
 def contracted(t):
-    return contractor.contracted_logons(t.unit_history, t.shift_inventory, as_of=AS_OF)
+    return contractor.contracted_uses(t.unit_history, t.shift_inventory, as_of=AS_OF)
 
 
 def direct(t):
-    return contractor.direct_logons(t.unit_history, t.shift_inventory, as_of=AS_OF)
+    return contractor.direct_uses(t.unit_history, t.shift_inventory, as_of=AS_OF)
 
 
 # Joins and set operations ------------------------------------------------
@@ -156,9 +152,12 @@ def _(t):
     )
 
 
-@query("keyed_inner", "SELECT unid, carid, cdts2, service FROM {contr_logons}")
+@query(
+    "keyed_inner",
+    """SELECT unid, carid, service, count(*) AS n, max(cdts2) AS last_logon FROM {contr_logons} GROUP BY 1, 2, 3""",
+)
 def _(t):
-    return contracted(t).select("unid", "carid", "cdts2", "service")
+    return contracted(t)
 
 
 @query(
@@ -274,6 +273,11 @@ def _(t):
     return joins.union_fill(usage.routine_vehicles(group_usage(t)), listed)
 
 
+@query("unit_uses", "SELECT unid, carid, count(*) AS n, max(cdts2) AS last_logon FROM {unit_history} GROUP BY 1, 2")
+def _(t):
+    return usage.unit_uses(t.unit_history)
+
+
 @query("distinct_rows", "SELECT DISTINCT carid, unid FROM {unit_history}")
 def _(t):
     return joins.distinct_rows(t.unit_history, "carid", "unid")
