@@ -8,19 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def local_session(cpus: str = "8", name: str = "muster", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cpus: str = "8", name: str = "muster", shuffle_partitions: int = 8,
+                  settings: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Generated code for the test views can pass the 8,000 bytecodes above
+        # which the JVM leaves a method uncompiled.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
