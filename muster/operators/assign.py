@@ -48,7 +48,7 @@ def _round(choices: DataFrame, taken: DataFrame) -> DataFrame:
 
 
 def default_vehicle(recent: DataFrame, expected: DataFrame, order: DataFrame, *,
-                    rounds_per_cut: int = 2) -> DataFrame:
+                    rounds_per_cut: int = 4) -> DataFrame:
     """Vehicles taken in turn: columns generic, default_vehicle.
 
     Rounds run until nothing changes. The result is that of the one-by-one

@@ -72,10 +72,8 @@ def losing_services(pairs: DataFrame) -> DataFrame:
 
 def shared_with_direct(contracted: DataFrame, direct: DataFrame) -> DataFrame:
     """Contracted vehicles that direct delivery used too, both counts side by side."""
-    return joins.suffix_join(
-        joins.semi_in(usage.vehicle_summary(contracted), "carid", direct, "carid"),
-        usage.vehicle_summary(direct), "carid",
-    )
+    both = joins.suffix_join(usage.vehicle_summary(contracted), usage.vehicle_summary(direct), "carid")
+    return both.where(F.col("n_d").isNotNull())
 
 
 def direct_majority(contracted: DataFrame, direct: DataFrame,

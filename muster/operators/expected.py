@@ -23,6 +23,8 @@ def last_k_logons(history: DataFrame, k: int, *, unit: str = "generic", time: st
 
     A rank limit is applied on the map side too (WindowGroupLimit), so each
     task sends about k rows per unit to the shuffle, whatever the unit's size.
+    Logon times are to the second and one crew logs on at a time, so ties are
+    few; for dates, where they are many, see expected_type_by_day.
     """
     newest = Window.partitionBy(unit).orderBy(F.desc(time))
     kept = (

@@ -38,11 +38,15 @@ def vehicle_type_choice(vehicles: DataFrame, unknown: str = UNKNOWN) -> DataFram
 
 
 def apply_overrides(choice: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Close gaps with hand-checked types (columns vehicle, checked_type) and
-    put the closed ones with the valid rows. Rows still open drop out."""
-    gaps = choice.where("outcome = 'gap'").join(overrides, "vehicle", "inner")
-    closed = gaps.select("vehicle", F.col("checked_type").alias("vehicle_type"))
-    return joins.union_same(choice.where("outcome = 'valid'").select("vehicle", "vehicle_type"), closed)
+    """Close gaps with hand-checked types (columns vehicle, checked_type, one
+    row per vehicle) and put the closed ones with the valid rows. Rows still
+    open drop out. One left join, so the choice is computed once."""
+    checked = overrides.select(F.col("vehicle").alias("_checked"), "checked_type")
+    gap = F.col("outcome") == "gap"
+    joined = choice.join(checked, gap & (F.col("vehicle") == F.col("_checked")), "left")
+    return joined.where((F.col("outcome") == "valid") | (gap & F.col("_checked").isNotNull())).select(
+        "vehicle", F.when(gap, F.col("checked_type")).otherwise(F.col("vehicle_type")).alias("vehicle_type")
+    )
 
 
 def suv_assignments(history: DataFrame, shifts: DataFrame, fleet: DataFrame, *, as_of, since,

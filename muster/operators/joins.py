@@ -65,19 +65,21 @@ def legacy_types(vehicles: DataFrame, legacy: DataFrame) -> DataFrame:
 
 
 def semi_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose value is among the keys."""
-    wanted = keys.select(F.col(key).alias("_key"))
+    """Rows whose value is among the keys. Keys are reduced to distinct ones
+    first, so a key that repeats very often shrinks before the shuffle, which
+    then serves the join too."""
+    wanted = keys.select(F.col(key).alias("_key")).distinct()
     return df.join(wanted, F.col(column) == F.col("_key"), "left_semi")
 
 
 def anti_missing(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose value is not among the keys; missing values stay."""
-    known = keys.select(F.col(key).alias("_key"))
+    known = keys.select(F.col(key).alias("_key")).distinct()
     return df.join(known, F.col(column) == F.col("_key"), "left_anti")
 
 
 def anti_pairs(df: DataFrame, pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(pairs.select(*keys), list(keys), "left_anti")
+    return df.join(pairs.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def suffix_join(left: DataFrame, right: DataFrame, key: str,

@@ -202,24 +202,22 @@ def rule_accuracy(cells: DataFrame, defaults=fixed.UNIT_KIND_DEFAULTS) -> DataFr
     matches by the letter rule's rows; ``reference_share`` is that ratio.
     """
     table = F.create_map(*[F.lit(part) for pair in defaults for part in pair])
-    counts = with_kind(cells).groupBy("dgroup", "kind", "letter", "vehicle_type").agg(F.sum("n").alias("n"))
     assumed = F.try_element_at(table, F.col("letter"))
-    letter = counts.agg(
-        F.sum(F.when(assumed == F.col("vehicle_type"), F.col("n"))).alias("matches"),
-        F.sum(F.when(assumed.isNotNull(), F.col("n"))).alias("shifts"),
-    ).select(F.lit("letter").alias("rule"), "matches", "shifts")
-    kinds = counts.groupBy("dgroup", "kind", "vehicle_type").agg(F.sum("n").alias("n"))
-    group = (
-        kinds.groupBy("dgroup", "kind")
-        .agg(F.max("n").alias("top"), F.sum("n").alias("all"))
-        .agg(F.sum("top").alias("matches"), F.sum("all").alias("shifts"))
-        .select(F.lit("group").alias("rule"), "matches", "shifts")
-    )
-    both = letter.unionByName(group).withColumn("matches", F.coalesce("matches", F.lit(0)))
-    # Two rows: the window carries the letter rule's shifts to the group rule.
-    letter_shifts = F.max(F.when(F.col("rule") == "letter", F.col("shifts"))).over(Window.partitionBy())
-    return both.select(
+    by_type = with_kind(cells).groupBy("dgroup", "kind", "vehicle_type").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(assumed == F.col("vehicle_type"), F.col("n")).otherwise(0)).alias("hits"),
+        F.sum(F.when(assumed.isNotNull(), F.col("n")).otherwise(0)).alias("covered"),
+    )
+    by_group = by_type.groupBy("dgroup", "kind").agg(
+        F.max("n").alias("top"), *[F.sum(name).alias(name) for name in ("n", "hits", "covered")]
+    )
+    totals = by_group.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("top", "n", "hits", "covered")])
+    rules = F.array(
+        F.struct(F.lit("letter").alias("rule"), F.col("hits").alias("matches"), F.col("covered").alias("shifts")),
+        F.struct(F.lit("group").alias("rule"), F.col("top").alias("matches"), F.col("n").alias("shifts")),
+    )
+    return totals.select("covered", F.inline(rules)).select(
         "rule", "matches", "shifts",
         F.try_divide("matches", "shifts").alias("share"),
-        F.try_divide("matches", letter_shifts).alias("reference_share"),
+        F.try_divide("matches", "covered").alias("reference_share"),
     )

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from muster.operators import contractors, filters, forms, joins, usage
+from muster.session import cut
 
 
 def contracted_units(shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
@@ -31,17 +32,24 @@ def direct_uses(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> Dat
     return joins.keyed_inner(road_uses(history), units)
 
 
-def run(history: DataFrame, shifts: DataFrame, legacy: DataFrame, *, as_of: dt.date) -> dict[str, DataFrame]:
-    """Vehicle list, and the rows of both survey forms."""
-    contracted = contracted_uses(history, shifts, as_of=as_of)
-    vehicles = contractors.contractor_vehicles(
-        contracted, direct_uses(history, shifts, as_of=as_of), legacy
+def vehicles(history: DataFrame, shifts: DataFrame, legacy: DataFrame, *, as_of: dt.date) -> DataFrame:
+    """Vehicle list of each contractor."""
+    return contractors.contractor_vehicles(
+        contracted_uses(history, shifts, as_of=as_of), direct_uses(history, shifts, as_of=as_of), legacy
     )
-    classes = contractors.vehicle_class(contracted)
-    classed = vehicles.join(classes, "carid")
+
+
+def run(history: DataFrame, shifts: DataFrame, legacy: DataFrame, *, as_of: dt.date) -> dict[str, DataFrame]:
+    """Vehicle list with classes, and the rows of both survey forms.
+
+    The contracted uses serve the list and the classes, the classed list both
+    forms, so each is written once.
+    """
+    contracted = cut(contracted_uses(history, shifts, as_of=as_of))
+    listed = contractors.contractor_vehicles(contracted, direct_uses(history, shifts, as_of=as_of), legacy)
+    classed = cut(listed.join(contractors.vehicle_class(contracted), "carid"))
     return {
-        "vehicles": vehicles,
-        "classes": classes,
+        "vehicles": classed,
         "ambulance_form": forms.ambulance_form(classed),
         "transport_form": forms.transport_form(classed),
     }

@@ -384,8 +384,8 @@ def _(t):
 
 @query("contractor_table", "SELECT * FROM {contractor_list} ORDER BY service")
 def _(t):
-    plan = contractor.run(t.unit_history, t.shift_inventory, t.legacy_vehicles, as_of=AS_OF)
-    return publish.ordered(plan["vehicles"], "service", "carid")
+    listed = contractor.vehicles(t.unit_history, t.shift_inventory, t.legacy_vehicles, as_of=AS_OF)
+    return publish.ordered(listed, "service", "carid")
 
 
 @query("alternate_unit",
