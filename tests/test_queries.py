@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from muster.queries.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
@@ -30,7 +31,7 @@ def in_order(found):
     return sorted((tuple(plain(v) for v in row) for row in found), key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
     df = contract.queries()[name](spark, FOLDER)
     names = sorted(df.columns)
