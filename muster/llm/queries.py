@@ -2,20 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import packing, rules, simhash, tokens
-from muster.llm.common import table
+from muster.llm import classifier, mixing, packing, rules, secrets, simhash, tokens
+from muster.llm.common import cut, table
 
 BPE_50K = "byte_bpe_50k.json"
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return classifier.score(docs, classifier.fit(docs, table(spark, folder, "labels")))
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents"))
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """As even as four passes over the smallest source allow, in as many words as there are."""
+    docs = table(spark, folder, "documents")
+    counted = cut(docs.select("doc_id", "source", mixing.word_count(docs["text"]).alias("n_tokens")))
+    return mixing.mix(counted, tokens="n_tokens")
+
+
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(table(spark, folder, "documents")))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(BPE_50K))
 
@@ -30,5 +45,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BPE_50K))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op5_token_counts, op8_quality_rules, op9_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_simhash, op3_mixing, op4_secrets, op5_token_counts, op8_quality_rules, op9_packing,
+)}
 ORACLES: dict[str, str] = {}
