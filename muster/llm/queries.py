@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import classifier, mixing, packing, rules, secrets, simhash, tokens
+from muster.llm import classifier, mixing, neighbours, packing, quotes, repeats, rules, secrets, simhash, tokens
 from muster.llm.common import cut, table
 
 BPE_50K = "byte_bpe_50k.json"
@@ -35,6 +35,14 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(BPE_50K))
 
 
+def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(repeats.removed(table(spark, folder, "documents")))
+
+
+def op7_quotations(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.link(table(spark, folder, "conversations"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.judge(table(spark, folder, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -45,7 +53,12 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BPE_50K))
 
 
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_simhash, op3_mixing, op4_secrets, op5_token_counts, op8_quality_rules, op9_packing,
+    op1_quality, op2_simhash, op3_mixing, op4_secrets, op5_token_counts,
+    op6_repeats, op7_quotations, op8_quality_rules, op9_packing, op10_neighbours,
 )}
 ORACLES: dict[str, str] = {}

@@ -13,7 +13,6 @@ at once, so the one in the smallest document stands and the others go.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from muster.llm.common import cut, map_batches
+from muster.llm.common import cut, map_batches, release
 
 MIN = 50
 GRAM = 16
@@ -191,12 +190,6 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(s) for s in out]
 
 
-def _free(df: DataFrame) -> None:
-    """Let Spark drop the shuffle files of what has been written and forgotten."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def _shared_anchors(texts: DataFrame) -> DataFrame:
     """(doc, tag, hot, places) of the texts with anchors that two documents share."""
 
@@ -315,11 +308,11 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     texts = rows.where("doc is not null").where(F.octet_length("text") >= MIN)
     texts = texts.join(copied, ["doc", "tag"], "left_anti").select("doc", "tag", "text")
     places = _shared_anchors(texts)
-    _free(docs)
+    release(docs)
     spans = _spans(_contexts(texts.dropDuplicates(["doc", "tag"]), places))
     spans = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     known = cut(spans.union(copied.select("doc", "tag", F.lit(None).cast("array<struct<start:int,end:int>>"))))
-    _free(docs)
+    release(docs)
     whole = F.array(F.struct(F.lit(0).alias("start"), F.octet_length("text").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")
     met = rows.join(known.withColumn("seen", F.lit(True)), ["doc", "tag"], "left")
