@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -79,6 +80,9 @@ def each_group(df: DataFrame, keys: list[str], schema: str, work: Callable[[dict
 
 
 def release(df: DataFrame) -> None:
-    """Let Spark drop the shuffle files of what has been written and forgotten."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of what has been written and forgotten: it
+    does so when the driver collects its garbage, which may be long after."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)  # references are given back by a thread
+        df.sparkSession.sparkContext._jvm.System.gc()

@@ -17,6 +17,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,9 +135,10 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, left: list[bytes], right: li
     ll, rl = np.array([len(x) for x in left]), np.array([len(x) for x in right])
     text[:, width], text[:, width + 1] = ll, rl
     text[:, width + 2 :] = group.astype(">u4").view(np.uint8).reshape(n, 4)
-    flat = np.ascontiguousarray(text).view(f"V{width + 6}")[:, 0]
-    order = np.lexsort((doc, *np.ascontiguousarray(_words(text)).T[::-1]))
-    same = np.concatenate([[False], flat[order[1:]] == flat[order[:-1]]])
+    flat = text.view(f"S{width + 6}")[:, 0]
+    order = np.argsort(doc, kind="stable")
+    order = order[np.argsort(flat[order], kind="stable")]
+    same = np.concatenate([[False], (text[order[1:]] == text[order[:-1]]).all(1)])
     head = np.maximum.accumulate(np.where(same, 0, np.arange(n)))
     first = doc[order[head]]
     later = (doc[order] > first) & (ll[order] + rl[order] >= MIN)
@@ -157,7 +159,7 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, left: list[bytes], right: li
         suffix[at : at + len(r), 4 : 4 + width - o] = text[r, o:width]
         at += len(r)
     ends = 4 + REACH + rl[row] - offset
-    array = np.lexsort(_words(suffix).T[::-1])  # the suffix array
+    array = np.argsort(suffix.view(f"S{4 + width}")[:, 0], kind="stable")  # the suffix array
     row, offset, suffix, ends = row[array], offset[array], suffix[array], ends[array]
     before = np.where(offset > REACH - ll[row], text[row, offset - 1].astype(np.int64), -1)
     out: list[tuple[np.ndarray, int, int]] = []
@@ -172,13 +174,6 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, left: list[bytes], right: li
         yield row[gone], offset[gone] - REACH, offset[gone] - REACH + size
 
 
-def _words(rows: np.ndarray) -> np.ndarray:
-    """Rows of bytes as big-endian numbers, for sorting."""
-    pad = -rows.shape[1] % 8
-    wide = np.pad(rows, ((0, 0), (0, pad)))
-    return wide.view(">u8").astype(np.uint64)
-
-
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping and touching spans as one."""
     out: list[list[int]] = []
@@ -191,20 +186,75 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _shared_anchors(texts: DataFrame) -> DataFrame:
-    """(doc, tag, hot, places) of the texts with anchors that two documents share."""
+    """(doc, tag, hot, places) of the texts with anchors that two documents share.
+
+    Each text adds a row for itself at place -1, filed by a hash of the whole; where
+    that is shared, all but the smallest document are copies and say -1. Rows are
+    dealt and sorted by hash, and a task streams them: it holds one anchor's rows,
+    ``HOT`` of them at most, beyond which the anchor is known to be hot.
+    """
+    types = "doc long, tag int, at int, h long"
 
     def make():
         def work(batch):
-            who, at, h = anchors([t.encode() for t in batch.column(2).to_pylist()])
-            return {"doc": batch.column(0).take(pa.array(who)), "tag": batch.column(1).take(pa.array(who)),
-                    "at": at.astype(np.int32), "h": h.view(np.int64)}
+            texts = [t.encode() for t in batch.column(2).to_pylist()]
+            who, at, h = anchors(texts)
+            whole = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64)
+            who = pa.array(np.concatenate([who, np.arange(len(texts))]))
+            return {"doc": batch.column(0).take(who), "tag": batch.column(1).take(who),
+                    "at": np.concatenate([at, np.full(len(texts), -1)]).astype(np.int32),
+                    "h": np.concatenate([h, whole]).view(np.int64)}
 
         return work
 
-    rows = map_batches(texts, "doc long, tag int, at int, h long", make).repartition("h")
-    twice = rows.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n"))
-    held = rows.join(twice.where("a < b").select("h", (F.col("n") > HOT).alias("hot")), "h")
-    return cut(held.groupBy("doc", "tag", "hot").agg(F.collect_list("at").alias("places")))
+    def shared(batches):
+        names = ("doc", "tag", "at", "h")
+        held = {n: [] for n in names}
+        hot = None  # hash and smallest document of the anchor being passed on
+
+        def out(c, keep, hot):
+            return pa.RecordBatch.from_pydict({"doc": c["doc"][keep], "tag": c["tag"][keep], "at": c["at"][keep],
+                                               "hot": np.full(int(keep.sum()), hot)})
+
+        def settle(c):
+            """Rows of whole runs: the anchors shared, and the copies."""
+            h, doc, at, tag = c["h"], c["doc"], c["at"], c["tag"]
+            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            sizes = np.diff([*starts, len(h)])
+            run = np.repeat(np.arange(len(starts)), sizes)
+            first = doc[starts][run]
+            text = at < 0
+            one = (np.minimum.reduceat(text, starts) & (np.minimum.reduceat(tag, starts) == np.maximum.reduceat(tag, starts)))[run]
+            found = doc[starts + sizes - 1][run] > first
+            return out(c, found & np.where(text, one & (doc > first), True), False)
+
+        for batch in batches:
+            for i, n in enumerate(names):
+                held[n].append(batch.column(i).to_numpy())
+            c = {n: np.concatenate(v) for n, v in held.items()}
+            if hot is not None:
+                mine = c["h"] == hot[0]
+                if mine.any():
+                    yield out(c, mine & ((c["at"] >= 0) | (c["doc"] > hot[1])), True)
+                c = {n: v[~mine] for n, v in c.items()}
+            if len(c["h"]) and not (c["h"][0] == c["h"][-1] and len(c["h"]) <= HOT):
+                hot = None
+                last = int(np.searchsorted(c["h"], c["h"][-1]))
+                if last:
+                    yield settle({n: v[:last] for n, v in c.items()})
+                c = {n: v[last:] for n, v in c.items()}
+                if len(c["h"]) > HOT and c["doc"][0] < c["doc"][-1]:
+                    hot = (c["h"][0], c["doc"][0])
+                    yield out(c, (c["at"] >= 0) | (c["doc"] > hot[1]), True)
+                    c = {n: v[:0] for n, v in c.items()}
+            held = {n: [v] for n, v in c.items()}
+        c = {n: np.concatenate(v) if v else np.zeros(0) for n, v in held.items()}
+        if len(c["h"]):
+            yield settle(c)
+
+    rows = map_batches(texts, types, make).repartition("h").sortWithinPartitions("h", "doc")
+    found = rows.mapInArrow(shared, "doc long, tag int, at int, hot boolean")
+    return cut(found.groupBy("doc", "tag", "hot").agg(F.collect_list("at").alias("places")))
 
 
 def _contexts(texts: DataFrame, places: DataFrame) -> DataFrame:
@@ -289,8 +339,8 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     Every byte under a window of ``MIN`` bytes that also starts in a document with a
     smaller key is in a span; spans are maximal, in order, and judged on the input.
-    Equal texts are worked on once, in the row of the smallest key, so thousands of
-    copies cost one; the other rows go whole. A null text is an empty one. Rows of
+    Equal texts, told by 96 bits of two hashes, are worked on once, in the row of the
+    smallest key, so thousands of copies cost one; the other rows go whole. A null text is an empty one. Rows of
     one key are parts of one document: they take nothing from each other. A row
     with a null key neither takes nor loses. An empty table gives no rows; other
     columns are left out.
@@ -301,17 +351,13 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("tag", F.hash("text"))
-    sums = rows.where("doc is not null").select("doc", "tag", F.unhex(F.md5("text")).alias("sum"), F.octet_length("text").alias("n"))
-    owners = sums.where(F.col("n") >= MIN).groupBy("sum", "n").agg(F.min("doc").alias("owner"))
-    copies = sums.join(owners, ["sum", "n"])
-    copied = cut(copies.where("doc > owner").select("doc", "tag").distinct())
-    texts = rows.where("doc is not null").where(F.octet_length("text") >= MIN)
-    texts = texts.join(copied, ["doc", "tag"], "left_anti").select("doc", "tag", "text")
+    texts = rows.where("doc is not null").where(F.octet_length("text") >= MIN).select("doc", "tag", "text")
     places = _shared_anchors(texts)
     release(docs)
-    spans = _spans(_contexts(texts.dropDuplicates(["doc", "tag"]), places))
+    copies = places.where(F.array_contains("places", -1)).select("doc", "tag").distinct()
+    spans = _spans(_contexts(texts, places.join(copies, ["doc", "tag"], "left_anti")))
     spans = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    known = cut(spans.union(copied.select("doc", "tag", F.lit(None).cast("array<struct<start:int,end:int>>"))))
+    known = cut(spans.union(copies.select("doc", "tag", F.lit(None).cast("array<struct<start:int,end:int>>"))))
     release(docs)
     whole = F.array(F.struct(F.lit(0).alias("start"), F.octet_length("text").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")
