@@ -31,25 +31,32 @@ CHUNK = 15_000  # contexts whose suffixes are sorted at once
 HOT = 200_000  # contexts of one anchor from which on windows are met one by one
 
 
-def _scan(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(place, hash) of the anchors in the joined pieces; windows keep to one piece."""
+FACTOR = 0x9E3779B97F4A7C15
+WIDTH = REACH + MIN  # bytes of a context, from REACH before its anchor on
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _scan(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hash, hash of the context) of the anchors in the joined pieces; windows
+    keep to one piece, contexts may not and are then for the caller to hash."""
     data = np.frombuffer(b"".join(pieces), np.uint8)
-    h, step, factor = data.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
+    h, step, factor, steps = data.astype(np.uint64) + np.uint64(1), 1, FACTOR, {}
     while step < GRAM:
         h = h[:-step] * np.uint64(factor) + h[step:]
         factor, step = factor * factor % (1 << 64), step * 2
-    h ^= h >> np.uint64(31)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    h |= np.uint64(1)
+        steps[step] = h
+    h = _mixed(h) | np.uint64(1)
     least, span = h, 1
     while span * 2 <= REACH + 1:
         least, span = np.minimum(least[:-span], least[span:]), span * 2
     rest = REACH + 1 - span
     if rest:
         least = np.minimum(least[:-rest], least[rest:])
-    sizes = np.array([len(p) for p in pieces])
-    ends = np.cumsum(sizes)
+    ends = np.cumsum([len(p) for p in pieces])
     for end in ends[:-1].tolist():  # windows over a seam
         least[max(0, end - MIN + 1) : end] = 0
     most = np.concatenate([np.zeros(REACH, np.uint64), least, np.zeros(REACH, np.uint64)])
@@ -59,18 +66,40 @@ def _scan(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if rest:
         most = np.maximum(most[:-rest], most[rest:])
     at = np.flatnonzero(h == most[: len(h)])
-    return at, h[at]
-
-
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, place, hash) of the anchors of each text, each once."""
+    start = np.clip(at - REACH, 0, max(0, len(data) - WIDTH))
+    context = np.zeros(len(at), np.uint64)
+    if len(data) >= WIDTH:
+        for gone in range(0, WIDTH - GRAM + 1, GRAM):
+            context = context * np.uint64(pow(FACTOR, GRAM, 1 << 64)) + steps[GRAM][start + gone]
+        context = context * np.uint64(pow(FACTOR, WIDTH % GRAM, 1 << 64)) + steps[WIDTH % GRAM][start + WIDTH - WIDTH % GRAM]
+    return at, h[at], _mixed(context)
+
+
+def _context_hash(text: bytes, at: int) -> int:
+    """What ``_scan`` says of a whole context; a context cut by an end of its text has its own."""
+    part = text[max(0, at - REACH) : at + MIN]
+    if len(part) < WIDTH:
+        return xxhash.xxh3_64_intdigest(part, seed=1 + min(at, REACH))
+    total = 0
+    for byte in part:
+        total = (total * FACTOR + byte + 1) % (1 << 64)
+    return int(_mixed(np.array([total], np.uint64))[0])
+
+
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, place, hash, hash of the context) of the anchors of each text, each once."""
     out, pieces, owner, offset, total = [], [], [], [], 0
 
     def flush():
-        at, h = _scan(pieces)
-        starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])[:-1]])
+        at, h, c = _scan(pieces)
+        sizes = np.array([len(p) for p in pieces])
+        starts = np.cumsum(sizes) - sizes
         piece = np.searchsorted(starts, at, "right") - 1
-        out.append((np.array(owner)[piece], at - starts[piece] + np.array(offset)[piece], h))
+        inside = at - starts[piece]
+        who, place = np.array(owner)[piece], inside + np.array(offset)[piece]
+        for i in np.flatnonzero((inside < REACH) | (inside + MIN > sizes[piece])).tolist():
+            c[i] = _context_hash(texts[who[i]], int(place[i]))
+        out.append((who, place, h, c))
 
     for i, text in enumerate(texts):
         for a in range(0, max(0, len(text) - MIN + 1), SLAB):
@@ -84,12 +113,12 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if pieces:
         flush()
     if not out:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-    who, at, h = (np.concatenate(c) for c in zip(*out))
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
+    who, at, h, c = (np.concatenate(x) for x in zip(*out))
     if any(len(t) > SLAB for t in texts):  # the seams of a long text are scanned twice
         _, first = np.unique(np.stack([who, at]), axis=1, return_index=True)
-        who, at, h = who[first], at[first], h[first]
-    return who, at, h
+        who, at, h, c = who[first], at[first], h[first], c[first]
+    return who, at, h, c
 
 
 def repeat_groups(suffixes: np.ndarray, ends: np.ndarray, before: np.ndarray, least: int = MIN):
@@ -185,76 +214,104 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(s) for s in out]
 
 
-def _shared_anchors(texts: DataFrame) -> DataFrame:
-    """(doc, tag, hot, places) of the texts with anchors that two documents share.
+OPEN, SEEN, COPY = 0, 1, 2  # what is known of a place: to be compared, context stands earlier, text is a copy
 
-    Each text adds a row for itself at place -1, filed by a hash of the whole; where
-    that is shared, all but the smallest document are copies and say -1. Rows are
-    dealt and sorted by hash, and a task streams them: it holds one anchor's rows,
-    ``HOT`` of them at most, beyond which the anchor is known to be hot.
+
+def _shared_anchors(texts: DataFrame) -> DataFrame:
+    """(doc, tag, hot, kind, places) of the texts with anchors that two documents share.
+
+    Rows are dealt and sorted by anchor, document and place, and a task streams them:
+    it holds one anchor's rows, ``HOT`` of them at most, beyond which the anchor is
+    known to be hot. Of the rows with one context the first stands and the others
+    are SEEN whole; of an anchor with several contexts the first rows stay OPEN, for
+    the suffix array. Each text adds a row for itself at place -1, filed by a hash of
+    the whole; where that is shared, all but the smallest document are a COPY.
     """
-    types = "doc long, tag int, at int, h long"
+    types = "doc long, tag int, at int, h long, c long"
 
     def make():
         def work(batch):
             texts = [t.encode() for t in batch.column(2).to_pylist()]
-            who, at, h = anchors(texts)
+            who, at, h, c = anchors(texts)
             whole = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64)
             who = pa.array(np.concatenate([who, np.arange(len(texts))]))
             return {"doc": batch.column(0).take(who), "tag": batch.column(1).take(who),
                     "at": np.concatenate([at, np.full(len(texts), -1)]).astype(np.int32),
-                    "h": np.concatenate([h, whole]).view(np.int64)}
+                    "h": np.concatenate([h, whole]).view(np.int64),
+                    "c": np.concatenate([c, np.zeros(len(texts), np.uint64)]).view(np.int64)}
 
         return work
 
     def shared(batches):
-        names = ("doc", "tag", "at", "h")
+        names = ("doc", "tag", "at", "h", "c")
         held = {n: [] for n in names}
         hot = None  # hash and smallest document of the anchor being passed on
 
-        def out(c, keep, hot):
-            return pa.RecordBatch.from_pydict({"doc": c["doc"][keep], "tag": c["tag"][keep], "at": c["at"][keep],
-                                               "hot": np.full(int(keep.sum()), hot)})
+        def out(x, keep, kind, hot):
+            kind = np.broadcast_to(kind, len(keep))[keep].astype(np.int32)
+            return pa.RecordBatch.from_pydict({"doc": x["doc"][keep], "tag": x["tag"][keep], "at": x["at"][keep],
+                                               "kind": kind, "hot": np.full(int(keep.sum()), hot)})
 
-        def settle(c):
-            """Rows of whole runs: the anchors shared, and the copies."""
-            h, doc, at, tag = c["h"], c["doc"], c["at"], c["tag"]
+        def settle(x):
+            """Rows of whole runs."""
+            h, doc, at, tag, c = (x[n] for n in ("h", "doc", "at", "tag", "c"))
             starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             sizes = np.diff([*starts, len(h)])
             run = np.repeat(np.arange(len(starts)), sizes)
-            first = doc[starts][run]
             text = at < 0
-            one = (np.minimum.reduceat(text, starts) & (np.minimum.reduceat(tag, starts) == np.maximum.reduceat(tag, starts)))[run]
-            found = doc[starts + sizes - 1][run] > first
-            return out(c, found & np.where(text, one & (doc > first), True), False)
+            one = np.minimum.reduceat(text, starts) & (np.minimum.reduceat(tag, starts) == np.maximum.reduceat(tag, starts))
+            copy = text & one[run] & (doc > doc[starts][run])
+            found = (doc[starts + sizes - 1] > doc[starts])[run] & ~text
+            # stable, so the first row of a context is the one in its smallest document
+            order = np.lexsort((c, run))
+            first = np.concatenate([[True], (c[order][1:] != c[order][:-1]) | (run[order][1:] != run[order][:-1])])
+            lead = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+            seen = np.zeros(len(h), bool)
+            seen[order] = doc[order] > doc[lead]
+            leads = np.zeros(len(h), bool)
+            leads[order[first]] = True
+            several = (np.add.reduceat(leads, starts, dtype=np.int64) > 1)[run]
+            open_ = found & ~seen & several & leads_of_doc(order, lead, doc, leads)
+            kind = np.where(copy, COPY, np.where(seen, SEEN, OPEN))
+            return out(x, copy | (found & seen) | open_, kind, False)
+
+        def leads_of_doc(order, lead, doc, leads):
+            """First rows of a context, and its other rows in the same document."""
+            same = leads.copy()
+            same[order] |= doc[order] == doc[lead]
+            return same
+
+        def pass_on(x, keep):
+            keep = keep & ((x["at"] >= 0) | (x["doc"] > hot[1]))
+            return out(x, keep, np.where(x["at"] < 0, COPY, OPEN), True)
 
         for batch in batches:
             for i, n in enumerate(names):
                 held[n].append(batch.column(i).to_numpy())
-            c = {n: np.concatenate(v) for n, v in held.items()}
+            x = {n: np.concatenate(v) for n, v in held.items()}
             if hot is not None:
-                mine = c["h"] == hot[0]
+                mine = x["h"] == hot[0]
                 if mine.any():
-                    yield out(c, mine & ((c["at"] >= 0) | (c["doc"] > hot[1])), True)
-                c = {n: v[~mine] for n, v in c.items()}
-            if len(c["h"]) and not (c["h"][0] == c["h"][-1] and len(c["h"]) <= HOT):
+                    yield pass_on(x, mine)
+                x = {n: v[~mine] for n, v in x.items()}
+            if len(x["h"]) and not (x["h"][0] == x["h"][-1] and len(x["h"]) <= HOT):
                 hot = None
-                last = int(np.searchsorted(c["h"], c["h"][-1]))
+                last = int(np.searchsorted(x["h"], x["h"][-1]))
                 if last:
-                    yield settle({n: v[:last] for n, v in c.items()})
-                c = {n: v[last:] for n, v in c.items()}
-                if len(c["h"]) > HOT and c["doc"][0] < c["doc"][-1]:
-                    hot = (c["h"][0], c["doc"][0])
-                    yield out(c, (c["at"] >= 0) | (c["doc"] > hot[1]), True)
-                    c = {n: v[:0] for n, v in c.items()}
-            held = {n: [v] for n, v in c.items()}
-        c = {n: np.concatenate(v) if v else np.zeros(0) for n, v in held.items()}
-        if len(c["h"]):
-            yield settle(c)
+                    yield settle({n: v[:last] for n, v in x.items()})
+                x = {n: v[last:] for n, v in x.items()}
+                if len(x["h"]) > HOT and x["doc"][0] < x["doc"][-1]:
+                    hot = (x["h"][0], x["doc"][0])
+                    yield pass_on(x, np.ones(len(x["h"]), bool))
+                    x = {n: v[:0] for n, v in x.items()}
+            held = {n: [v] for n, v in x.items()}
+        x = {n: np.concatenate(v) if v else np.zeros(0) for n, v in held.items()}
+        if len(x["h"]):
+            yield settle(x)
 
     rows = map_batches(texts, types, make).repartition("h").sortWithinPartitions("h", "doc")
-    found = rows.mapInArrow(shared, "doc long, tag int, at int, hot boolean")
-    return cut(found.groupBy("doc", "tag", "hot").agg(F.collect_list("at").alias("places")))
+    found = rows.mapInArrow(shared, "doc long, tag int, at int, kind int, hot boolean")
+    return cut(found.groupBy("doc", "tag", "kind", "hot").agg(F.collect_list("at").alias("places")))
 
 
 def _contexts(texts: DataFrame, places: DataFrame) -> DataFrame:
@@ -338,9 +395,10 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     """(key, text, spans): per row the byte spans that a document of a smaller key has.
 
     Every byte under a window of ``MIN`` bytes that also starts in a document with a
-    smaller key is in a span; spans are maximal, in order, and judged on the input.
+    smaller key is in a span; spans may overlap, and are judged on the input.
     Equal texts, told by 96 bits of two hashes, are worked on once, in the row of the
-    smallest key, so thousands of copies cost one; the other rows go whole. A null text is an empty one. Rows of
+    smallest key, so thousands of copies cost one; the other rows go whole. Equal
+    contexts of an anchor are told by 128 bits of two hashes. A null text is an empty one. Rows of
     one key are parts of one document: they take nothing from each other. A row
     with a null key neither takes nor loses. An empty table gives no rows; other
     columns are left out.
@@ -354,16 +412,19 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     texts = rows.where("doc is not null").where(F.octet_length("text") >= MIN).select("doc", "tag", "text")
     places = _shared_anchors(texts)
     release(docs)
-    copies = places.where(F.array_contains("places", -1)).select("doc", "tag").distinct()
-    spans = _spans(_contexts(texts, places.join(copies, ["doc", "tag"], "left_anti")))
+    spans = _spans(_contexts(texts, places.where(F.col("kind") == OPEN)))
     spans = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    known = cut(spans.union(copies.select("doc", "tag", F.lit(None).cast("array<struct<start:int,end:int>>"))))
+    seen = F.transform("places", lambda p: F.struct((p - REACH).alias("start"), (p + MIN).alias("end")))
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.lit(2147483647).alias("end")))
+    more = places.where(F.col("kind") != OPEN).select("doc", "tag", F.when(F.col("kind") == COPY, whole).otherwise(seen).alias("spans"))
+    known = spans.union(more).groupBy("doc", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    known = cut(known)
     release(docs)
-    whole = F.array(F.struct(F.lit(0).alias("start"), F.octet_length("text").alias("end")))
+    size = F.octet_length("text")
+    inside = F.transform("spans", lambda s: F.struct(F.greatest(s["start"], F.lit(0)).alias("start"), F.least(s["end"], size).alias("end")))
+    met = rows.join(known, ["doc", "tag"], "left")
     none = F.array().cast("array<struct<start:int,end:int>>")
-    met = rows.join(known.withColumn("seen", F.lit(True)), ["doc", "tag"], "left")
-    found = F.when(F.col("seen").isNull(), none).otherwise(F.coalesce("spans", whole))
-    return met.select(F.col("doc").cast(kind).alias(key), "text", found.alias("spans"))
+    return met.select(F.col("doc").cast(kind).alias(key), "text", F.coalesce(inside, none).alias("spans"))
 
 
 def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
