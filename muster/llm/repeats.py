@@ -101,6 +101,7 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
             c[i] = _context_hash(texts[who[i]], int(place[i]))
         out.append((who, place, h, c))
 
+    # pieces keep the order of texts, so anchors come out by text and place
     for i, text in enumerate(texts):
         for a in range(0, max(0, len(text) - MIN + 1), SLAB):
             pieces.append(text[a : a + SLAB + MIN - 1])
@@ -121,6 +122,18 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return who, at, h, c
 
 
+def _packed(who: np.ndarray, at: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Place, and how far before it the windows begin that may have this anchor: those
+    which do not reach a neighbouring anchor of a smaller hash. Six bits each."""
+    most, least = np.full(len(at), REACH), np.zeros(len(at), np.int64)
+    near = (who[1:] == who[:-1]) & (at[1:] - at[:-1] <= REACH)
+    back = near & (h[:-1] < h[1:])
+    most[1:][back] = (at[1:] - at[:-1] - 1)[back]
+    ahead = near & (h[1:] < h[:-1])
+    least[:-1][ahead] = (REACH + 1 - (at[1:] - at[:-1]))[ahead]
+    return (at.astype(np.int64) << 12) | (most << 6) | least
+
+
 def repeat_groups(suffixes: np.ndarray, ends: np.ndarray, before: np.ndarray, least: int = MIN):
     """Maximal repeats of sorted suffixes: (length, from, to) over the sorted order.
 
@@ -153,9 +166,11 @@ def repeat_groups(suffixes: np.ndarray, ends: np.ndarray, before: np.ndarray, le
                 stack.append((length, start))
 
 
-def _first_seen(group: np.ndarray, doc: np.ndarray, left: list[bytes], right: list[bytes]):
+def _first_seen(group: np.ndarray, doc: np.ndarray, most: np.ndarray, least: np.ndarray,
+                left: list[bytes], right: list[bytes]):
     """(row, from, to) in bytes relative to the anchor: what stands in a smaller
-    document already. ``group`` numbers the anchors, rows of one stand together."""
+    document already. ``group`` numbers the anchors, rows of one stand together;
+    windows begin ``most`` to ``least`` bytes before an anchor, the others are met at theirs."""
     n = len(doc)
     width = REACH + MIN
     text = np.zeros((n, width + 6), np.uint8)
@@ -176,7 +191,9 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, left: list[bytes], right: li
     own = order[~same]  # one row per different context, in its smallest document
     many = np.bincount(group[own], minlength=int(group.max()) + 1)[group[own]] > 1
     own = own[many]
-    starts = [(own[(REACH - ll[own] <= o) & (o + MIN <= REACH + rl[own])], o) for o in range(REACH + 1)]
+    low = REACH - np.minimum(ll, most)
+    high = np.minimum(REACH + rl - MIN, REACH - least)
+    starts = [(own[(low[own] <= o) & (o <= high[own])], o) for o in range(REACH + 1)]
     row = np.concatenate([r for r, _ in starts])
     if not len(row):
         return
@@ -190,7 +207,7 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, left: list[bytes], right: li
     ends = 4 + REACH + rl[row] - offset
     array = np.argsort(suffix.view(f"S{4 + width}")[:, 0], kind="stable")  # the suffix array
     row, offset, suffix, ends = row[array], offset[array], suffix[array], ends[array]
-    before = np.where(offset > REACH - ll[row], text[row, offset - 1].astype(np.int64), -1)
+    before = np.where(offset > low[row], text[row, offset - 1].astype(np.int64), -1)
     out: list[tuple[np.ndarray, int, int]] = []
     for length, a, b in repeat_groups(suffix, ends, before, 4 + MIN):
         docs = doc[row[a:b]]
@@ -227,16 +244,16 @@ def _shared_anchors(texts: DataFrame) -> DataFrame:
     the suffix array. Each text adds a row for itself at place -1, filed by a hash of
     the whole; where that is shared, all but the smallest document are a COPY.
     """
-    types = "doc long, tag int, at int, h long, c long"
+    types = "doc long, tag int, at long, h long, c long"
 
     def make():
         def work(batch):
             texts = [t.encode() for t in batch.column(2).to_pylist()]
             who, at, h, c = anchors(texts)
             whole = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64)
+            at = np.concatenate([_packed(who, at, h), np.full(len(texts), -1)])
             who = pa.array(np.concatenate([who, np.arange(len(texts))]))
-            return {"doc": batch.column(0).take(who), "tag": batch.column(1).take(who),
-                    "at": np.concatenate([at, np.full(len(texts), -1)]).astype(np.int32),
+            return {"doc": batch.column(0).take(who), "tag": batch.column(1).take(who), "at": at,
                     "h": np.concatenate([h, whole]).view(np.int64),
                     "c": np.concatenate([c, np.zeros(len(texts), np.uint64)]).view(np.int64)}
 
@@ -310,7 +327,7 @@ def _shared_anchors(texts: DataFrame) -> DataFrame:
             yield settle(x)
 
     rows = map_batches(texts, types, make).repartition("h").sortWithinPartitions("h", "doc")
-    found = rows.mapInArrow(shared, "doc long, tag int, at int, kind int, hot boolean")
+    found = rows.mapInArrow(shared, "doc long, tag int, at long, kind int, hot boolean")
     return cut(found.groupBy("doc", "tag", "kind", "hot").agg(F.collect_list("at").alias("places")))
 
 
@@ -326,14 +343,14 @@ def _contexts(texts: DataFrame, places: DataFrame) -> DataFrame:
                 out["tag"] += [tag] * len(found)
                 out["hot"] += [hot] * len(found)
                 out["at"] += found
-                out["before"] += [data[max(0, p - REACH) : p] for p in found]
-                out["after"] += [data[p : p + MIN] for p in found]
+                out["before"] += [data[max(0, (p >> 12) - REACH) : p >> 12] for p in found]
+                out["after"] += [data[p >> 12 : (p >> 12) + MIN] for p in found]
             return out
 
         return work
 
     met = texts.join(places, ["doc", "tag"]).select("doc", "tag", "text", "places", "hot")
-    return map_batches(met, "doc long, tag int, at int, before binary, after binary, hot boolean", make)
+    return map_batches(met, "doc long, tag int, at long, before binary, after binary, hot boolean", make)
 
 
 def _spans(contexts: DataFrame) -> DataFrame:
@@ -345,11 +362,12 @@ def _spans(contexts: DataFrame) -> DataFrame:
 
         def work(table: pa.Table) -> pa.RecordBatch:
             doc = table.column("doc").to_numpy()
-            at = table.column("at").to_numpy().astype(np.int64)
+            packed = table.column("at").to_numpy()
+            at = packed >> 12
             after = table.column("after").to_pylist()
             grams = np.array([x[:GRAM] for x in after], f"V{GRAM}")
             group = np.cumsum(np.concatenate([[0], grams[1:] != grams[:-1]]))
-            parts = list(_first_seen(group, doc, table.column("before").to_pylist(), after))
+            parts = list(_first_seen(group, doc, packed >> 6 & 63, packed & 63, table.column("before").to_pylist(), after))
             row, a, b = (np.concatenate([p[i] for p in parts]) for i in range(3))
             tag = table.column("tag").to_numpy()
             return pa.RecordBatch.from_pydict({
@@ -380,7 +398,7 @@ def _spans(contexts: DataFrame) -> DataFrame:
     # an anchor with very many contexts: its windows are suffixes of MIN bytes, so an
     # interval is a set of equal windows, whose smallest document is found by map-side combining
     whole = F.concat("before", "after")
-    at = F.col("at") - F.length("before")
+    at = F.shiftright("at", 12).cast("int") - F.length("before")
     windows = contexts.where("hot").select(
         "doc", "tag", F.explode(F.transform(
             F.sequence(F.lit(0), F.length(whole) - MIN),
@@ -413,8 +431,9 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     places = _shared_anchors(texts)
     release(docs)
     spans = _spans(_contexts(texts, places.where(F.col("kind") == OPEN)))
-    spans = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    seen = F.transform("places", lambda p: F.struct((p - REACH).alias("start"), (p + MIN).alias("end")))
+    spans = spans.select("doc", "tag", F.array(F.struct("start", "end")).alias("spans"))
+    place = lambda p: F.shiftright(p, 12).cast("int")
+    seen = F.transform("places", lambda p: F.struct((place(p) - REACH).alias("start"), (place(p) + MIN).alias("end")))
     whole = F.array(F.struct(F.lit(0).alias("start"), F.lit(2147483647).alias("end")))
     more = places.where(F.col("kind") != OPEN).select("doc", "tag", F.when(F.col("kind") == COPY, whole).otherwise(seen).alias("spans"))
     known = spans.union(more).groupBy("doc", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
