@@ -50,10 +50,7 @@ def generic_unit(unit: Column) -> Column:
 
 def grouped_unit(unit: Column) -> Column:
     """As generic_unit, only for codes that start with four capitals."""
-    return F.when(
-        unit.rlike(r"^[A-Z]{4}-\d[AB]\d+$"),
-        F.concat(F.substring(unit, 1, 6), F.lit("_"), F.substring(unit, 8, 100)),
-    ).otherwise(unit)
+    return F.regexp_replace(unit, r"^([A-Z]{4}-\d)[AB](\d+)$", "$1_$2")
 
 
 def twin_unit(unit: Column) -> Column:
@@ -77,6 +74,11 @@ def capital_group(unit: Column) -> Column:
     return extract(unit, r"^\p{Upper}{4}")
 
 
+def _from_seventh(code: Column) -> Column:
+    """The rest of a type code after its six fixed characters, whatever its length."""
+    return F.substring(code, F.lit(7), F.length(code))
+
+
 def bare_type(key: Column) -> Column:
     """Type key without its UT_ or UT_Air_ prefix."""
     return F.regexp_replace(F.regexp_replace(key, "^UT_Air_", ""), "^UT_", "")
@@ -96,7 +98,7 @@ def type_rank_key(key: Column, class_scores: Mapping[str, float] = fixed.CLASS_S
     """
     code = bare_type(key)
     letter = F.substring(code, 6, 1)
-    suffix = F.substring(code, 7, 100).try_cast("double")
+    suffix = _from_seventh(code).try_cast("double")
     return F.struct(
         lookup(letter, class_scores).alias("class_score"),
         lookup(F.substring(code, 1, 4), fixed.STRETCHER_SCORES).alias("stretcher"),
@@ -114,7 +116,7 @@ def type_code_gap(key: Column) -> Column:
     needs = F.substring(code, 1, 2).isin(fixed.WHEELCHAIR_PREFIXES) | F.substring(code, 6, 1).isin(
         fixed.AIR_LETTERS
     )
-    return needs & (F.substring(code, 7, 100) == "")
+    return needs & (_from_seventh(code) == "")
 
 
 def listed_rank(value: Column, ranking: Sequence[str | None] = fixed.TYPE_RANKING,

@@ -80,8 +80,8 @@ def _sliced(cells: DataFrame, period: str) -> DataFrame:
     return ordered.withColumn("slice", F.trunc("date", period))
 
 
-def type_transitions(cells: DataFrame, *, cap: int = 10_000, period: str = "month") -> DataFrame:
-    """Count by (current type, type of the shift before), and the capped count.
+def type_transitions(cells: DataFrame, *, period: str = "month") -> DataFrame:
+    """Count by (current type, type of the shift before).
 
     A slice is reduced to its counts by pair of types, its first and its last
     type. The step between two slices is added when they are stitched.
@@ -122,7 +122,6 @@ def type_transitions(cells: DataFrame, *, cap: int = 10_000, period: str = "mont
         .where("prev IS NOT NULL")
         .groupBy("curr", "prev")
         .agg(F.sum("n").alias("n"))
-        .withColumn("n_capped", F.least("n", F.lit(cap).cast("bigint")))
     )
 
 
@@ -134,8 +133,14 @@ def transition_share(transitions: DataFrame) -> DataFrame:
 
 
 def transition_matrix(transitions: DataFrame, types: Sequence[str]) -> DataFrame:
-    """Row percentages by current type, a column per previous type."""
+    """Row percentages by current type, a column per previous type.
+
+    A previous type that is not in ``types`` stops the job: without its column
+    the row would no longer add up to 100.
+    """
+    unlisted = F.raise_error(F.concat(F.lit("type without a column: "), "prev")).cast("string")
     share = transition_share(transitions).withColumn("_pct", F.bround("share", 3) * 100)
+    share = share.withColumn("prev", F.when(F.col("prev").isin(*types), F.col("prev")).otherwise(unlisted))
     return share.groupBy("curr").pivot("prev", list(types)).agg(F.first("_pct")).na.fill(0.0)
 
 

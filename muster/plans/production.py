@@ -39,10 +39,14 @@ def update(production: DataFrame, stored: DataFrame, *, k: int = 7, threshold: f
 
 
 def test(production: DataFrame, inventory: DataFrame, *, as_of: dt.date, days: int = 30,
-         settings: Sequence[tuple[int, float]] = fixed.SWEEP_SETTINGS) -> dict[str, DataFrame]:
-    """Match counts of all settings over the last days, in total and by day."""
+         settings: Sequence[tuple[int, float]] = fixed.SWEEP_SETTINGS, apply_filter: bool = False) -> dict[str, DataFrame]:
+    """Match counts of all settings over the last days, in total and by day.
+
+    ``apply_filter`` as for ``rows``: a unit the crew filter dropped stays out.
+    """
     cutoff = dt.datetime.combine(as_of - dt.timedelta(days=days), dt.time())
-    scored = evaluate.holdout_rows(production, tables.shifts(inventory), cutoff=cutoff, settings=settings)
+    shifts = filters.crew_shift_filter(tables.shifts(inventory), apply_filter=apply_filter)
+    scored = evaluate.holdout_rows(production, shifts, cutoff=cutoff, settings=settings)
     return {
         "total": evaluate.match_metrics(scored, "k", "threshold"),
         "daily": evaluate.daily_metrics(scored),

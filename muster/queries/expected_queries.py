@@ -291,7 +291,7 @@ def _(t):
 
 @query(
     "type_transitions",
-    "SELECT curr, prev, n, CASE WHEN n > 10000 THEN 10000 ELSE n END AS n_capped FROM {transitions}",
+    "SELECT curr, prev, n FROM {transitions}",
 )
 def _(t):
     return study.type_transitions(study_cells(t))
@@ -395,10 +395,10 @@ def _(t):
 @query(
     "newest_n_rows",
     """SELECT unid, carid, cdts2, row_no FROM (SELECT *, row_number() OVER (PARTITION BY unid ORDER BY cdts2 DESC, carid)
-         AS row_no FROM {unit_history}) WHERE row_no <= 50""",
+         AS row_no FROM {unit_history}) WHERE row_no <= 90""",
 )
 def _(t):
-    return expected.newest_n_rows(t.unit_history, 50).select(
+    return expected.newest_n_rows(t.unit_history, 90).select(
         "unid", "carid", "cdts2", F.col("row_no").cast("bigint").alias("row_no")
     )
 

@@ -30,7 +30,8 @@ def local_session(cpus: str = "8", name: str = "muster", shuffle_partitions: int
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names, or a local one where none is set."""
+    """The checkpoint folder the cluster names. Only a local session may go without:
+    it gets a folder of its own, where a cluster's executors would not find it."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
@@ -38,6 +39,8 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if context.getCheckpointDir() is None:
+        if not (context.master or "").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="muster-checkpoint-"))
     return context.getCheckpointDir()
 

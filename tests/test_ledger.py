@@ -1,8 +1,11 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows, values
+
+from muster.functions import codes
 from muster.operators import contractors, evaluate, expected, filters, fleet, forms, joins, publish, study, usage
 
 DAY = dt.datetime(2024, 1, 1)
@@ -98,7 +101,6 @@ def test_runs_drop_the_first_shift(table):
     steps = rows(study.type_transitions(df), "curr", "prev", "n")
     assert steps == [("a", "a", 2), ("a", "b", 1), ("b", "a", 1)]
     assert rows(study.change_rate(study.type_transitions(df))) == [(2, 4, 50.0)]
-    assert values(study.type_transitions(df, cap=1), "n_capped") == [1, 1, 1]
 
 
 def test_rule_accuracy_keeps_the_reference_ratio(table):
@@ -223,3 +225,16 @@ def test_fleet_suv_words(table):
                ("", "", "", "", "PRU"), (None, None, None, None, None))
     assert filters.fleet_suvs(df).count() == 4
     assert filters.fleet_suvs(df, types=["supervisor"]).count() == 5
+
+
+def test_long_codes_stay_whole(table):
+    unit = "CALG-1A" + "7" * 120
+    found = table("unit string", (unit,)).select(codes.grouped_unit(F.col("unit")), codes.generic_unit(F.col("unit"))).first()
+    assert set(found) == {"CALG-1_" + "7" * 120}
+
+
+def test_a_type_without_a_column_stops_the_matrix(table):
+    steps = table("curr string, prev string, n bigint", ("a", "a", 2), ("a", "b", 1))
+    assert rows(study.transition_matrix(steps, ["a", "b"])) == [("a", 66.7, 33.3)]
+    with pytest.raises(Exception, match="without a column"):
+        study.transition_matrix(steps, ["a"]).collect()
