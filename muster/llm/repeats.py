@@ -354,8 +354,9 @@ def _contexts(texts: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def _spans(contexts: DataFrame) -> DataFrame:
-    """(doc, tag, start, end) of what a smaller document has, anchor by anchor."""
-    types = "doc long, tag int, start int, end int"
+    """(doc, tag, span) of what a smaller document has, anchor by anchor. A span is
+    its start, shifted by eight bits, and its length, which a context bounds."""
+    types = "doc long, tag int, span long"
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -371,8 +372,7 @@ def _spans(contexts: DataFrame) -> DataFrame:
             row, a, b = (np.concatenate([p[i] for p in parts]) for i in range(3))
             tag = table.column("tag").to_numpy()
             return pa.RecordBatch.from_pydict({
-                "doc": doc[row], "tag": tag[row],
-                "start": (at[row] + a).astype(np.int32), "end": (at[row] + b).astype(np.int32),
+                "doc": doc[row], "tag": tag[row], "span": (at[row] + a) << 8 | (b - a),
             })
 
         for batch in batches:
@@ -405,7 +405,8 @@ def _spans(contexts: DataFrame) -> DataFrame:
             lambda o: F.struct((at + o).alias("start"), whole.substr(o + 1, F.lit(MIN)).alias("w")),
         )).alias("x")).select("doc", "tag", "x.start", "x.w")
     first = windows.groupBy("w").agg(F.min("doc").alias("first"))
-    rest = windows.join(first, "w").where("doc > first").select("doc", "tag", "start", (F.col("start") + MIN).alias("end"))
+    rest = windows.join(first, "w").where("doc > first")
+    rest = rest.select("doc", "tag", (F.shiftleft(F.col("start").cast("long"), 8) + MIN).alias("span"))
     return usual.union(rest)
 
 
@@ -431,16 +432,26 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     places = _shared_anchors(texts)
     release(docs)
     spans = _spans(_contexts(texts, places.where(F.col("kind") == OPEN)))
-    spans = spans.select("doc", "tag", F.array(F.struct("start", "end")).alias("spans"))
-    place = lambda p: F.shiftright(p, 12).cast("int")
-    seen = F.transform("places", lambda p: F.struct((place(p) - REACH).alias("start"), (place(p) + MIN).alias("end")))
-    whole = F.array(F.struct(F.lit(0).alias("start"), F.lit(2147483647).alias("end")))
-    more = places.where(F.col("kind") != OPEN).select("doc", "tag", F.when(F.col("kind") == COPY, whole).otherwise(seen).alias("spans"))
+    spans = spans.select("doc", "tag", F.array("span").alias("spans"))
+
+    def seen(place):
+        start = F.greatest(F.shiftright(place, 12) - REACH, F.lit(0))
+        return F.shiftleft(start, 8) + (F.shiftright(place, 12) + MIN - start)
+
+    whole = F.array(F.lit(-1).cast("long"))
+    more = places.where(F.col("kind") != OPEN).select(
+        "doc", "tag", F.when(F.col("kind") == COPY, whole).otherwise(F.transform("places", seen)).alias("spans"))
     known = spans.union(more).groupBy("doc", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     known = cut(known)
     release(docs)
     size = F.octet_length("text")
-    inside = F.transform("spans", lambda s: F.struct(F.greatest(s["start"], F.lit(0)).alias("start"), F.least(s["end"], size).alias("end")))
+
+    def unpacked(span):
+        start = F.when(span < 0, 0).otherwise(F.shiftright(span, 8)).cast("int")
+        end = F.when(span < 0, size).otherwise(F.least(start + span.bitwiseAND(F.lit(255)).cast("int"), size))
+        return F.struct(start.alias("start"), end.alias("end"))
+
+    inside = F.transform("spans", unpacked)
     met = rows.join(known, ["doc", "tag"], "left")
     none = F.array().cast("array<struct<start:int,end:int>>")
     return met.select(F.col("doc").cast(kind).alias(key), "text", F.coalesce(inside, none).alias("spans"))
@@ -453,9 +464,13 @@ def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
     def make():
         def work(batch):
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                data = text.encode()
-                merged = merge([(s["start"], s["end"]) for s in spans])
+            spans, flat = batch.column(2), batch.column(2).flatten()
+            starts, ends = flat.field("start").to_numpy(), flat.field("end").to_numpy()
+            edges = spans.offsets.to_numpy() - spans.offsets[0].as_py()
+            for i in range(batch.num_rows):
+                data = batch.column(1)[i].as_py().encode()
+                mine = slice(edges[i], edges[i + 1])
+                merged = merge(list(zip(starts[mine].tolist(), ends[mine].tolist())))
                 kept, at = hashlib.sha256(), 0
                 for a, b in [*merged, (len(data), len(data))]:
                     kept.update(data[at:a])
