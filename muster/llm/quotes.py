@@ -66,7 +66,6 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     columns are left out. Conversations are small groups; a passage common to very
     many of them meets only within each.
     """
-    kinds = {c: messages.schema[c].dataType.simpleString() for c in (conv, turn)}
     rows = messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"),
                            F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("lines", _lines(F.col("text")))
     depth = F.array_max(F.transform("lines", lambda x: x["level"]))
@@ -85,24 +84,42 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     turns = rows.where("conv is not null and turn is not null").select("conv", "turn").distinct()
     before = turns.withColumn("before", F.expr("lag(turn) OVER (PARTITION BY conv ORDER BY turn)"))
     tree = before.join(parents, ["conv", "turn"], "left").join(quotes, ["conv", "turn"], "left")
-    tree = tree.select("conv", "turn", F.coalesce("parent", "before").alias("parent"),
+    tree = tree.select("conv", "turn", "before", F.coalesce("parent", "before").alias("parent"),
                        F.col("parent").isNotNull().alias("linked"), F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"))
-    placed = _in_reply_order(cut(tree), kinds[turn])
+    placed = _in_reply_order(tree)
     out = rows.join(placed, ["conv", "turn"], "left")
     return out.select(F.col("conv").alias(conv), F.col("turn").alias(turn), F.col("role").alias(role),
                       F.col("own").alias(text), "depth", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
                       F.col("parent").alias("parent_turn"), F.coalesce("linked", F.lit(False)).alias("linked"), "place")
 
 
-def _in_reply_order(tree: DataFrame, kind: str) -> DataFrame:
-    """The tree with ``place``: messages by their path of turns from the root. Paths
-    double in length each round, so a thread of n replies takes log n rounds."""
-    paths = tree.select("conv", "turn", F.col("parent").alias("up"), F.array("turn").alias("path"))
-    while True:
-        above = paths.select("conv", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("path").alias("path2"))
-        paths = cut(paths.join(above, ["conv", "up"], "left").select(
-            "conv", "turn", F.col("up2").alias("up"), F.concat(F.coalesce("path2", F.array().cast(f"array<{kind}>")), "path").alias("path")))
-        if not paths.where("up is not null").limit(1).count():
-            break
-    place = F.expr("row_number() OVER (PARTITION BY conv ORDER BY path)")
-    return tree.join(paths.withColumn("place", place).select("conv", "turn", "place"), ["conv", "turn"])
+def _in_reply_order(tree: DataFrame) -> DataFrame:
+    """The tree with ``place``.
+
+    Messages that each answer the one of the turn before form a run, which stands
+    together: its next message is always the first of the answers. So only runs are
+    put in order, by their path of (place answered, latest first; own start) from the
+    first run. A conversation without links back is one run, whatever its length.
+    Paths double in length each round and only unfinished ones are joined, so runs
+    nested d deep take log d rounds; their paths hold d entries each.
+    """
+    turns = "OVER (PARTITION BY conv ORDER BY turn)"
+    numbered = tree.withColumn("no", F.expr(f"row_number() {turns}").cast("long"))
+    numbered = numbered.withColumn("start", F.expr("CASE WHEN parent <=> before THEN 0 ELSE 1 END"))
+    numbered = cut(numbered.withColumn("run", F.expr(f"sum(start) {turns}")))
+    heads = numbered.where("start = 1").select("conv", "run", "parent", F.col("no").alias("own"))
+    answered = numbered.select("conv", F.col("turn").alias("parent"), F.col("no").alias("at"), F.col("run").alias("up"))
+    step = F.array(F.struct((-F.col("at")).alias("back"), F.col("own").alias("own")))
+    above = heads.join(answered, ["conv", "parent"]).select("conv", "run", "up", step.alias("path"))
+    sizes = numbered.groupBy("conv", "run").agg(F.min("no").alias("head"), F.count("*").alias("n"))
+    none = F.array().cast("array<struct<back: bigint, own: bigint>>")
+    paths = cut(sizes.join(above, ["conv", "run"], "left").select("conv", "run", "head", "n", "up", F.coalesce("path", none).alias("path")))
+    while paths.where("up is not null").limit(1).count():
+        over = paths.select("conv", F.col("run").alias("up"), F.col("up").alias("up2"), F.col("path").alias("path2"))
+        longer = paths.where("up is not null").join(over, ["conv", "up"]).select(
+            "conv", "run", "head", "n", F.col("up2").alias("up"), F.concat("path2", "path").alias("path"))
+        paths = cut(paths.where("up is null").union(longer.select(*paths.columns)))
+    before = F.expr("sum(n) OVER (PARTITION BY conv ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    first = paths.select("conv", "run", (F.coalesce(before, F.lit(0)) - F.col("head") + 1).alias("shift"))
+    placed = numbered.join(first, ["conv", "run"])
+    return placed.withColumn("place", (F.col("no") + F.col("shift")).cast("int")).drop("no", "start", "run", "shift", "before")

@@ -353,3 +353,24 @@ def test_neighbours(spark):
     assert neighbours.nearest(table.limit(0)).count() == 0
     few = neighbours.nearest(spark.createDataFrame(rows[:5], table.schema)).collect()
     assert [r.vec_id for r in few] == [int(j) for j in np.argsort(-(x[:5] @ x[0])) if j != 0]
+
+
+def test_reply_order_equals_a_walk_of_the_tree(spark):
+    rng = random.Random(11)
+    rows, want = [], {}
+    for conv in range(12):
+        turns = sorted(rng.sample(range(100), rng.randint(1, 30)))
+        answers = {}
+        for i, turn in enumerate(turns):
+            before = turns[i - 1] if i else None
+            parent = rng.choice([before, before, rng.choice(turns[:i])]) if i else None
+            answers.setdefault(parent, []).append(turn)
+            rows.append((conv, turn, before, parent))
+        stack, order = answers[None][::-1], []
+        while stack:
+            order.append(stack.pop())
+            stack += answers.get(order[-1], [])[::-1]
+        want |= {(conv, turn): i + 1 for i, turn in enumerate(order)}
+    tree = spark.createDataFrame(rows, "conv long, turn int, before int, parent int")
+    got = {(r.conv, r.turn): r.place for r in quotes._in_reply_order(tree).collect()}
+    assert got == want
