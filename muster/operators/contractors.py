@@ -76,6 +76,12 @@ def shared_with_direct(contracted: DataFrame, direct: DataFrame) -> DataFrame:
     return both.where(F.col("n_d").isNotNull())
 
 
+def fleet_known_vehicles(contracted: DataFrame, fleet: DataFrame) -> DataFrame:
+    """Contracted vehicles that the in-service fleet lists. Summed up by vehicle
+    before the fleet is looked up."""
+    return joins.semi_in(usage.vehicle_summary(contracted), "carid", fleet, "vehicle_id")
+
+
 def direct_majority(contracted: DataFrame, direct: DataFrame,
                     invalid: Sequence[str] = fixed.INVALID_CONTRACT_VEHICLES) -> DataFrame:
     """Vehicles used more by direct delivery than by contractors, and the

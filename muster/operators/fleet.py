@@ -49,14 +49,19 @@ def apply_overrides(choice: DataFrame, overrides: DataFrame) -> DataFrame:
     )
 
 
+def suv_uses(history: DataFrame, shifts: DataFrame, *, as_of, since) -> DataFrame:
+    """Uses of SUV crews since a date. Logons are counted before units are looked
+    up, so a unit with a large share of them is one row per vehicle by then."""
+    counted = filters.suv_units(usage.uses_since(history, since))
+    return joins.semi_in(counted, "unid", filters.active_shifts(shifts, as_of=as_of), "unit_name")
+
+
 def suv_assignments(history: DataFrame, shifts: DataFrame, fleet: DataFrame, *, as_of, since,
                     suv_type: str = fixed.SUV_TYPE) -> DataFrame:
     """Fleet SUVs, and vehicles SUV crews used lately that the fleet list lacks."""
-    used = joins.semi_in(
-        filters.suv_units(history), "unid", filters.active_shifts(shifts, as_of=as_of), "unit_name"
-    )
+    used = suv_uses(history, shifts, as_of=as_of, since=since)
     listed = filters.fleet_suvs(filters.in_service_fleet(fleet)).where(F.length("vehicle_id") != 4)
-    routine = usage.recent_usage(used, since=since)
+    routine = usage.recent_usage(used)
     missing = joins.anti_missing(routine, "carid", listed, "vehicle_id")
     return joins.union_same(
         listed.select(F.col("vehicle_id").alias("vehicle")), missing.select(F.col("carid").alias("vehicle"))

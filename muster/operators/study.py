@@ -51,6 +51,13 @@ def types_per_unit_histogram(cells: DataFrame) -> DataFrame:
     return types_per_unit(cells).groupBy("types").agg(F.count("*").alias("units"))
 
 
+def types_per_unit_later(runs: DataFrame) -> DataFrame:
+    """Types of each unit after its first shift, counted over ``type_runs``: a unit
+    whose first type never returns has one type less than in ``types_per_unit``,
+    one of a single shift is absent."""
+    return runs.groupBy("generic").agg(F.count_distinct("vehicle_type").alias("types"))
+
+
 def with_kind(cells: DataFrame) -> DataFrame:
     """Unit letter with A and B merged."""
     return cells.withColumn(

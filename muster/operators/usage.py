@@ -80,14 +80,14 @@ def rare_vehicles(counts: DataFrame) -> DataFrame:
     )
 
 
-def recent_usage(history: DataFrame, *, since: dt.date, at_least: int = 2) -> DataFrame:
-    """Vehicles used at least twice after a date."""
-    return (
-        history.where(F.to_date("cdts2") > F.lit(since))
-        .groupBy("carid")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= at_least)
-    )
+def uses_since(history: DataFrame, since: dt.date) -> DataFrame:
+    """Uses counted from logons after a date only."""
+    return unit_uses(history.where(F.to_date("cdts2") > F.lit(since)))
+
+
+def recent_usage(uses: DataFrame, *, at_least: int = 2) -> DataFrame:
+    """Vehicles used at least twice. ``uses`` are those since the date asked for."""
+    return uses.groupBy("carid").agg(F.sum("n").alias("n")).where(F.col("n") >= at_least)
 
 
 def vehicle_summary(uses: DataFrame, *keys: str) -> DataFrame:

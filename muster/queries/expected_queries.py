@@ -261,6 +261,11 @@ def _(t):
     return study.types_per_unit(study_cells(t))
 
 
+@query("types_per_unit_later", "SELECT generic, count(DISTINCT curr) AS types FROM {ordered_study} WHERE prev IS NOT NULL GROUP BY 1")
+def _(t):
+    return study.types_per_unit_later(study.type_runs(study_cells(t)))
+
+
 @query(
     "types_per_unit_histogram",
     """SELECT types, count(*) AS units FROM (SELECT generic, count(DISTINCT vehicle_type) AS types FROM {study}

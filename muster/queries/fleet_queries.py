@@ -320,10 +320,8 @@ def _(t):
        GROUP BY carid HAVING count(*) > 1""",
 )
 def _(t):
-    used = joins.semi_in(
-        filters.suv_units(t.unit_history), "unid", filters.active_shifts(t.shift_inventory, as_of=AS_OF), "unit_name"
-    )
-    return usage.recent_usage(used, since=dt.date(2024, 1, 10))
+    used = fleet.suv_uses(t.unit_history, t.shift_inventory, as_of=AS_OF, since=dt.date(2024, 1, 10))
+    return usage.recent_usage(used)
 
 
 @query(
@@ -367,6 +365,16 @@ def _(t):
     return contractors.multi_service_vehicles(contracted(t))
 
 
+@query(
+    "fleet_known_vehicles",
+    """SELECT carid, count(*) AS n, CAST(max(cdts2) AS DATE) AS last_logon,
+         string_agg(DISTINCT unid, ';' ORDER BY unid) AS units
+       FROM {contr_logons} WHERE carid IN (SELECT vehicle_id FROM {serving_fleet}) GROUP BY carid""",
+)
+def _(t):
+    return contractors.fleet_known_vehicles(contracted(t), filters.in_service_fleet(t.fleet_assets))
+
+
 @query("direct_majority", "SELECT carid FROM {omitted}")
 def _(t):
     return contractors.direct_majority(contracted(t), direct(t))

@@ -150,8 +150,8 @@ def test_suv_units_and_recent_usage(table):
                ("CALG-1A1", "41012", DAY), ("CALG-1P1", "7", DAY))
     suv = filters.suv_units(df)
     assert suv.count() == 3
-    assert rows(usage.recent_usage(suv, since=dt.date(2023, 12, 31))) == [("41012", 2)]
-    assert usage.recent_usage(suv, since=dt.date(2024, 1, 1)).count() == 0
+    assert rows(usage.recent_usage(usage.uses_since(suv, dt.date(2023, 12, 31)))) == [("41012", 2)]
+    assert usage.recent_usage(usage.uses_since(suv, dt.date(2024, 1, 1))).count() == 0
 
 
 def test_contractors(table):
