@@ -48,15 +48,26 @@ def _shape(word: str) -> str:
     return _RUNS.sub(r"\1", marked)
 
 
+def _core(word: str) -> str:
+    return "".join(_LETTERS.findall(word)).lower() or word
+
+
 class _Places(dict):
-    """Row of the word table and of the shape table per word."""
+    """Row of the word table times ``SHAPES`` plus row of the shape table, per word."""
 
-    def __missing__(self, word: str) -> tuple[int, int]:
+    def __missing__(self, word: str) -> int:
         if len(self) > MEMO:
             self.clear()
-        core = "".join(_LETTERS.findall(word)).lower() or word
-        place = (zlib.crc32(core.encode("utf-8", "surrogatepass")) % WORDS,
-                 1 + zlib.crc32(_shape(word).encode("utf-8", "surrogatepass")) % (SHAPES - 1))
+        # plain words, alone or before a mark, are most; their core and shape need no look at each letter
+        plain, mark = (word[:-1], word[-1]) if word[-1] in ".,;:!?" and len(word) <= 64 else (word, "")
+        if plain.isalpha() and plain.islower():
+            core, shape = plain.lower(), "x" + mark
+        elif plain.isalpha() and plain[0].isupper() and plain[1:].islower():
+            core, shape = plain.lower(), "Xx" + mark
+        else:
+            core, shape = _core(word), _shape(word)
+        row = zlib.crc32(core.encode("utf-8", "surrogatepass")) % WORDS
+        place = row * SHAPES + 1 + zlib.crc32(shape.encode("utf-8", "surrogatepass")) % (SHAPES - 1)
         self[word] = place
         return place
 
@@ -67,13 +78,12 @@ _places = _Places()
 def read(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Word and shape rows of a text; shape 0 marks a word equal to the one before."""
     words = (text or "").split()
-    if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    found = np.array([_places[w] for w in words], np.int64)
-    shapes = found[:, 1].copy()
-    same = np.array([a == b for a, b in zip(words, words[1:])], bool)
-    shapes[1:][same] = 0
-    return found[:, 0], shapes
+    found = np.fromiter(map(_places.__getitem__, words), np.int64, len(words))
+    shapes = found % SHAPES
+    for at in np.flatnonzero(found[1:] == found[:-1]) + 1:  # equal places are seldom different words
+        if words[at] == words[at - 1]:
+            shapes[at] = 0
+    return found // SHAPES, shapes
 
 
 @dataclass
@@ -97,7 +107,9 @@ class Model:
             for at in range(0, n, 4096):
                 total += self.words[words[at : at + 4096]].sum(0)
             out[:DIMS] = total / n
-            out[DIMS : DIMS + SHAPE_DIMS] = np.bincount(shapes, minlength=SHAPES) @ self.shapes / n
+            counts = np.bincount(shapes, minlength=SHAPES)
+            rows = counts.nonzero()[0]
+            out[DIMS : DIMS + SHAPE_DIMS] = counts[rows].astype(np.float64) @ self.shapes[rows].astype(np.float64) / n
             out[-2] = float((shapes == 0).mean())
         return out
 
