@@ -8,7 +8,7 @@ left, a duplicate of the vehicle they used most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.operators import joins, usage
@@ -75,12 +75,37 @@ def default_vehicle(recent: DataFrame, expected: DataFrame, order: DataFrame, *,
         taken = state
 
 
+def _serve(waiting: DataFrame, free: DataFrame) -> DataFrame:
+    """Units and the free vehicles they take in turn: generic, _free."""
+    settled = None
+    while True:
+        queue = number_rows(waiting, ["expected_type"], ["_first", "_unit"])
+        stock = number_rows(free, ["vehicle_type"], ["vehicle"]).withColumnRenamed("vehicle_type", "expected_type")
+        turn = F.struct("_first", "_unit")
+        matched = queue.join(stock, ["expected_type", "place"])
+        matched = cut(matched.select("generic", F.col("vehicle").alias("_free"), turn.alias("turn")))
+        earliest = F.min("turn").over(Window.partitionBy("_free"))
+        late = matched.withColumn("_earliest", earliest).where("turn > _earliest").agg(F.min("turn")).first()[0]
+        if late is not None:
+            limit = F.struct(F.lit(late["_first"]).cast("string").alias("_first"), F.lit(late["_unit"]).alias("_unit"))
+            matched = matched.where(F.col("turn") < limit)
+        settled = matched if settled is None else settled.unionByName(matched)
+        if late is None:
+            return settled.select("generic", "_free")
+        waiting = joins.anti_missing(waiting, "generic", matched, "generic")
+        free = joins.anti_missing(free, "vehicle", matched, "_free")
+
+
 def default_vehicle_fill(expected: DataFrame, first: DataFrame, order: DataFrame, uses: DataFrame,
                          types: DataFrame) -> DataFrame:
     """Vehicles for all units: columns generic, expected_type, default_vehicle
     and source (own, free, duplicate, none).
 
     Units and free vehicles are numbered within each type and joined by number.
+    A vehicle listed under several types goes to the unit whose turn comes
+    first. Up to the first unit that meets a vehicle already given, the numbers
+    hold; the units and vehicles after it are numbered anew. A register without
+    such vehicles needs one numbering.
     """
     units = expected.select("generic", "expected_type").join(first, "generic", "left")
     waiting = units.where("default_vehicle IS NULL AND expected_type IS NOT NULL").select("generic", "expected_type")
@@ -89,9 +114,7 @@ def default_vehicle_fill(expected: DataFrame, first: DataFrame, order: DataFrame
     free = free.where("vehicle_type IS NOT NULL AND vehicle IS NOT NULL")
     # A type nobody waits for needs no numbers.
     free = joins.semi_in(free, "vehicle_type", waiting, "expected_type")
-    queue = number_rows(waiting, ["expected_type"], ["_first", "_unit"])
-    stock = number_rows(free, ["vehicle_type"], ["vehicle"]).withColumnRenamed("vehicle_type", "expected_type")
-    served = queue.join(stock, ["expected_type", "place"]).select("generic", F.col("vehicle").alias("_free"))
+    served = _serve(waiting, free)
     usual = usage.most_used_vehicle(uses).select("generic", "most_used")
     filled = units.join(served, "generic", "left").join(usual, "generic", "left")
     none = F.col("expected_type").isNull()

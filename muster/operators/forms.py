@@ -6,7 +6,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.functions import codes, fixed
@@ -17,6 +17,15 @@ def field(heading: str) -> str:
     return re.sub(r"[^0-9a-z]+", "_", heading.lower()).strip("_")
 
 
+def form_labels(vehicles: DataFrame) -> DataFrame:
+    """Folder of each service: its path label. Services of equal labels are told
+    apart by their place among them, after a sign no label holds."""
+    named = vehicles.select("service").distinct().withColumn("_label", codes.path_label(F.col("service")))
+    place = F.row_number().over(Window.partitionBy("_label").orderBy("service"))
+    numbered = F.concat("_label", F.lit("-"), place.cast("string"))
+    return named.select("service", F.when(place == 1, F.col("_label")).otherwise(numbered).alias("form"))
+
+
 def _form(vehicles: DataFrame, unit_class: str, headings: Sequence[str], examples: Sequence[tuple]) -> DataFrame:
     names = [field(heading) for heading in headings]
     filled = [F.col("carid"), F.col("last_logon").cast("string"), F.col("last_unit")]
@@ -30,7 +39,7 @@ def _form(vehicles: DataFrame, unit_class: str, headings: Sequence[str], example
     )
     # Every service gets a form, so each form opens with the examples.
     heads = vehicles.select("service").distinct().select("service", F.lit(True).alias("is_example"), F.inline(shown))
-    return heads.unionByName(rows).withColumn("form", codes.path_label(F.col("service")))
+    return heads.unionByName(rows).join(form_labels(vehicles), "service")
 
 
 def ambulance_form(vehicles: DataFrame) -> DataFrame:
@@ -44,9 +53,9 @@ def transport_form(vehicles: DataFrame) -> DataFrame:
 
 
 def write_forms(form: DataFrame, headings: Sequence[str], path: str) -> None:
-    """One folder per service: examples first, then vehicles by id."""
+    """One folder per service, its name in each row: examples first, then vehicles by id."""
     named = form.select(
-        "form", "is_example", *[F.col(field(heading)).alias(heading) for heading in headings]
+        "form", "service", "is_example", *[F.col(field(heading)).alias(heading) for heading in headings]
     )
     order = ["form", F.desc("is_example"), headings[0]]
     # A range per task: a form with very many rows spreads over several files,

@@ -21,8 +21,15 @@ def history_shifts(history: DataFrame, shifts: DataFrame) -> DataFrame:
 
 
 def history_types(history: DataFrame, types: DataFrame) -> DataFrame:
-    """Logons with the vehicle's type, null where it is not known."""
-    return history.join(types, history["carid"] == types["vehicle"], "left").drop("vehicle")
+    """Logons with the vehicle's type, null where it is not known.
+
+    Rows without a vehicle match nothing. A second key, of their own values,
+    deals them out, or a sort-merge join would send them all to one task.
+    """
+    dealt = F.coalesce("carid", F.concat(F.lit("none "), F.xxhash64(*history.columns).cast("string")))
+    keyed = history.withColumn("_dealt", dealt)
+    same = (keyed["_dealt"] == types["vehicle"]) & (keyed["carid"] == types["vehicle"])
+    return keyed.join(types, same, "left").drop("vehicle", "_dealt")
 
 
 def shifts_history_outer(history: DataFrame, shifts: DataFrame) -> DataFrame:

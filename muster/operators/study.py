@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from muster.functions import codes, fixed
 from muster.operators import joins
-from muster.session import cut
 
 ORDER = ["date", "carid", "vehicle_type"]
 
@@ -163,7 +162,8 @@ def type_runs(cells: DataFrame, *, period: str = "month") -> DataFrame:
     """Lengths of runs of one type per unit, the unit's first shift left out.
 
     Runs are cut at slice borders first. Runs that touch no border are final;
-    at most two per slice touch one and are merged over the slices of a unit.
+    at most two per slice touch one and are merged over the slices of a unit. One
+    branch, nothing is written.
     """
     inside = Window.partitionBy("generic", "slice").orderBy(*ORDER)
     changed = F.when(F.col("vehicle_type") == F.lag("vehicle_type").over(inside), 0).otherwise(1)
@@ -174,27 +174,40 @@ def type_runs(cells: DataFrame, *, period: str = "month") -> DataFrame:
     runs = numbered.groupBy("generic", "slice", "run").agg(
         F.first("vehicle_type").alias("vehicle_type"), F.sum("n").alias("length")
     )
-    # Two branches read the runs, so they are written once.
-    runs = cut(runs.withColumn("_last", F.max("run").over(Window.partitionBy("generic", "slice"))))
-    edge = (F.col("run") == 1) | (F.col("run") == F.col("_last"))
-    final = runs.where(~edge).select("generic", "vehicle_type", "length")
+    slices = runs.groupBy("generic", "slice").agg(
+        F.array_sort(F.collect_list(F.struct("run", "vehicle_type", "length"))).alias("runs")
+    )
+
+    def edge(run, inner):
+        return F.struct(run["run"].alias("run"), run["vehicle_type"].alias("vehicle_type"),
+                        run["length"].alias("length"), inner.alias("inner"))
 
+    # The first run of a slice carries the inner ones, which are final.
+    count = F.size("runs")
+    inner = F.transform(
+        F.slice("runs", 2, F.greatest(count - 2, F.lit(0))), lambda r: F.struct(r["vehicle_type"], r["length"])
+    )
+    first = edge(F.element_at("runs", 1), inner)
+    last = edge(F.element_at("runs", -1), F.slice(inner, 1, 0))
+    edges = slices.select(
+        "generic", "slice", F.inline(F.when(count > 1, F.array(first, last)).otherwise(F.array(first)))
+    )
     across = Window.partitionBy("generic").orderBy("slice", "run")
     joined = (F.col("vehicle_type") == F.lag("vehicle_type").over(across)) & (
         F.col("slice") != F.lag("slice").over(across)
     )
-    edges = runs.where(edge).withColumn("_change", F.when(joined, 0).otherwise(1))
+    edges = edges.withColumn("_change", F.when(joined, 0).otherwise(1))
     edges = edges.withColumn(
         "_run", F.sum("_change").over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    merged = (
-        edges.groupBy("generic", "_run")
-        .agg(F.first("vehicle_type").alias("vehicle_type"), F.sum("length").alias("length"))
-        .withColumn("length", F.col("length") - F.when(F.col("_run") == 1, 1).otherwise(0))
-        .where("length > 0")
-        .drop("_run")
+    # A merged run ends in the slice whose inner runs it carries, so it carries those of one slice.
+    merged = edges.groupBy("generic", "_run").agg(
+        F.first("vehicle_type").alias("vehicle_type"), F.sum("length").alias("_sum"),
+        F.flatten(F.collect_list("inner")).alias("inner"),
     )
-    return final.unionByName(merged)
+    length = F.col("_sum") - F.when(F.col("_run") == 1, 1).otherwise(0)
+    whole = F.array(F.struct("vehicle_type", length.alias("length")))
+    return merged.select("generic", F.inline(F.concat(whole, "inner"))).where("length > 0")
 
 
 def long_runs(runs: DataFrame, *, longer_than: int = 5) -> DataFrame:

@@ -38,6 +38,18 @@ def update(production: DataFrame, stored: DataFrame, *, k: int = 7, threshold: f
     )
 
 
+def write_update(production: DataFrame, stored: DataFrame, path: str, *, k: int = 7,
+                 threshold: float = 0.5) -> DataFrame:
+    """Write the stored table with the change set applied as a new version.
+
+    ``path`` must not exist yet: the version it is made from stays as it is. The
+    result is the new version read again; an update against it is empty.
+    """
+    changes = cut(update(production, stored, k=k, threshold=threshold))
+    publish.write_parquet(publish.stored_after(tables.stored_assignments(stored), changes), path, mode="errorifexists")
+    return production.sparkSession.read.parquet(path)
+
+
 def test(production: DataFrame, inventory: DataFrame, *, as_of: dt.date, days: int = 30,
          settings: Sequence[tuple[int, float]] = fixed.SWEEP_SETTINGS, apply_filter: bool = False) -> dict[str, DataFrame]:
     """Match counts of all settings over the last days, in total and by day.

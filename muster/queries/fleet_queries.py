@@ -387,7 +387,7 @@ def _(t):
 
 @query("contractor_vehicles", "SELECT * FROM {contractor_list}")
 def _(t):
-    return contractors.contractor_vehicles(contracted(t), direct(t), t.legacy_vehicles)
+    return contractor.vehicles(t.unit_history, t.shift_inventory, t.legacy_vehicles, as_of=AS_OF)
 
 
 @query("contractor_table", "SELECT * FROM {contractor_list} ORDER BY service")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import rows, values
 from muster.functions import codes
 from muster.operators import contractors, evaluate, expected, filters, fleet, forms, joins, publish, study, usage
+from muster.plans import production
 
 DAY = dt.datetime(2024, 1, 1)
 LOGONS = "generic string, vehicle_type string, cdts2 timestamp_ntz"
@@ -237,3 +238,32 @@ def test_a_type_without_a_column_stops_the_matrix(table):
     assert rows(study.transition_matrix(steps, ["a", "b"]))[0][1:] == pytest.approx((66.7, 33.3))
     with pytest.raises(Exception, match="without a column"):
         study.transition_matrix(steps, ["a"]).collect()
+
+
+def test_runs_over_whole_slices(table):
+    days = [("a", 3, 30), ("a", 4, 2), ("b", 4, 3), ("a", 4, 4), ("c", 4, 5), ("c", 5, 1), ("c", 6, 1), ("b", 6, 2)]
+    df = table("generic string, date date, carid string, vehicle_type string, n bigint",
+               *[("U", dt.date(2024, m, d), "1", name, 2) for name, m, d in days])
+    assert rows(study.type_runs(df), "vehicle_type", "length") == [("a", 2), ("a", 3), ("b", 2), ("b", 2), ("c", 6)]
+
+
+def test_logons_without_a_vehicle_keep_a_null_type(table):
+    history = table("unid string, carid string", *[("U", None)] * 3, ("U", "1"), ("U", "2"))
+    types = table("vehicle string, vehicle_type string", ("1", "SC113"), (None, "X"))
+    got = joins.history_types(history, types)
+    assert got.columns == ["unid", "carid", "vehicle_type"]
+    assert rows(got) == [("U", "1", "SC113"), ("U", "2", None)] + [("U", None, None)] * 3
+
+
+def test_update_is_written_once(spark, table, tmp_path, monkeypatch):
+    stored = table("grouped_unit_name string, lut_key string, expected_vehicle_type_key string",
+                   ("g1", "LUT_u1", "UT_A"), ("g2", "LUT_u2", None), ("g3", "LUT_u3", "UT_C"))
+    wanted = table("external_key string, expected_vehicle_type_key string, grouped_unit string, unid string",
+                   ("LUT_u1", "UT_B", "g1", "u1"), ("LUT_u2", "UT_A", "g2", "u2"), ("LUT_u4", "UT_D", "g4", "u4"))
+    monkeypatch.setattr(production, "assignments", lambda rows, **_: rows)
+    version = str(tmp_path / "v2")
+    after = production.write_update(wanted, stored, version)
+    assert rows(after) == [("g1", "LUT_u1", "UT_B"), ("g2", "LUT_u2", "UT_A"), ("g3", "LUT_u3", "UT_C"), ("g4", "LUT_u4", "UT_D")]
+    assert production.update(wanted, after).count() == 0
+    with pytest.raises(Exception, match="already exists"):
+        production.write_update(wanted, stored, version)

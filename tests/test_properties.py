@@ -134,6 +134,25 @@ def test_assignment_is_the_sequential_walk(spark, seed):
     assert owned.count() == owned.select("default_vehicle").distinct().count()
 
 
+def test_vehicle_of_two_types_goes_to_the_first_turn(spark):
+    for seed in range(3):
+        rng = random.Random(seed)
+        units = [(f"U{i:02d}", rng.choice(TYPES[:2])) for i in range(14)]
+        listed = [(f"{v:03d}", name) for v in range(14) for name in TYPES[:2] if rng.random() < 0.7]
+        taken, walk = set(), {}
+        for unit, name in units:
+            open_to = sorted(v for v, t in listed if t == name and v not in taken)
+            if open_to:
+                walk[unit] = open_to[0]
+                taken.add(open_to[0])
+        wanted = spark.createDataFrame(units, "generic string, expected_type string")
+        none = spark.createDataFrame([], "generic string, default_vehicle string")
+        uses = spark.createDataFrame([(u, "999", 1) for u, _ in units], "generic string, carid string, n bigint")
+        types = spark.createDataFrame(listed, "vehicle string, vehicle_type string")
+        got = assign.default_vehicle_fill(wanted, none, assign.unit_order(uses), uses, types)
+        assert dict(rows(got.where("source = 'free'"), "generic", "default_vehicle")) == walk
+
+
 def test_numbers_run_through_large_groups(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("g"), ((F.col("id") * 7919) % 1000).alias("v")

@@ -87,12 +87,19 @@ def test_forms_are_written_per_service(spark, table, tmp_path):
     forms.write_forms(form, fixed.AMBULANCE_FORM, str(tmp_path / "form"))
     back = spark.read.option("header", True).csv(str(tmp_path / "form"))
     assert {r.form for r in back.select("form").distinct().collect()} == {"A...B", "C"}
-    assert [c for c in back.columns if c != "form"] == fixed.AMBULANCE_FORM
+    assert [c for c in back.columns if c not in ("form", "service")] == fixed.AMBULANCE_FORM
     numbers = [r["EHS Number"] for r in back.where("form = 'A...B'").collect()]
     assert sorted(numbers) == ["1001", "Example1", "Example2", "Example3", "Example4"]
     assert forms.transport_form(vehicles).where("NOT is_example").count() == 1
 
 
+def test_services_of_equal_labels_keep_their_forms_apart(table):
+    vehicles = table("service string, carid string, last_logon date, last_unit string, unit_class string",
+                     ("A & B", "1001", dt.date(2024, 1, 2), "CALG-1A1", "AMB"), ("A + B", "7", dt.date(2024, 1, 3), "CALG-1A2", "AMB"))
+    form = forms.ambulance_form(vehicles).where("NOT is_example")
+    assert rows(form, "service", "form", "ehs_number") == [("A & B", "A...B", "1001"), ("A + B", "A...B-2", "7")]
+
+
 def test_writers(spark, table, tmp_path):
     staged = publish.stage_vehicles(table("vehicle string, vehicle_type string", ("1", "SC113")), as_of=dt.date(2024, 2, 1))
     publish.write_csv(staged, str(tmp_path / "staging"))
