@@ -3,7 +3,8 @@
 Plain patterns give the base spans. Base64, hex and dotted candidates are
 reported beyond that only if they decode and parse: DER key encodings whose
 nested lengths add up, SSH key blobs field by field, armoured key blocks, and
-signed tokens whose header and body are JSON and name an algorithm.
+signed tokens whose header and body are JSON and name an algorithm. Encodings may
+run over line breaks, real or escaped as in JSON, and hex may be of either case.
 """
 
 from __future__ import annotations
@@ -28,8 +29,25 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _BLOB = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_ANY_HEX = re.compile(r"[0-9A-Fa-f]{24,}")
+# a run may stand after an escaped line break, whose letter is no part of it
+_EDGE = r"(?:(?<![A-Za-z0-9_-])|(?<=\\[nrt]))"
+_TOKEN = re.compile(_EDGE + r"(?=([A-Za-z0-9_-]{14,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*))")
+_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
+_ESCAPED = re.compile(r"\\+(?:u00([0-9A-Fa-f]{2})|([nrt/]))")
+_HEADERS = re.compile(r"\s*((?:[A-Za-z][A-Za-z-]*:[^\n]*(?:\n[ \t][^\n]*)*\n\s*)+)")
+_CIPHER = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+,\s*([0-9A-Fa-f]{16,32})\s*(?:\n|$)")
+# how an encoding begins: a DER sequence, SSH fields, the private container
+_START = re.compile(r"(?:(?<![A-Za-z0-9+/=_-])|(?<=\\[nrt]))(?=M[B-I]|AAAA|b3BlbnNzaC1r)[A-Za-z0-9+/_-]{8}")
+_HEX_START = re.compile(r"(?<![0-9A-Fa-f])(?=30|000000|6[Ff]70656[Ee])[0-9A-Fa-f]{8}")
+_BREAK = r"[ \t]*(?:\r\n|\n|\r|\\+[nr])(?:\s|\\+[nrt])*"
+_LINES = re.compile(rf"[A-Za-z0-9+/_-]+(?:{_BREAK}[A-Za-z0-9+/_-]+)*")
+_HEX_LINES = re.compile(rf"[0-9A-Fa-f]+(?:{_BREAK}[0-9A-Fa-f]+)*")
+_GAP = re.compile(_BREAK)
+_PAD = re.compile(r"={0,2}")
+_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"sk-ssh-ed25519@openssh.com": 3,
+           b"sk-ecdsa-sha2-nistp256@openssh.com": 4}
+_CONTAINER = b"openssh-key-v1\x00"
 
 
 def _decoded(text: str) -> bytes | None:
@@ -64,7 +82,8 @@ def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
 
 def is_key_der(data: bytes) -> bool:
     """A DER sequence that holds a key: numbers only (RSA, DSA), a version with
-    an algorithm or an octet string (PKCS 8, EC), or an algorithm with a bit string."""
+    an algorithm or an octet string (PKCS 8, EC), an algorithm with a bit string, or
+    one with parameters and an octet string (encrypted PKCS 8; a digest has none)."""
     top = der_items(data, 0, len(data))
     if not top or len(top) != 1 or top[0][0] != 0x30:
         return False
@@ -80,22 +99,44 @@ def is_key_der(data: bytes) -> bool:
         return len(tags) >= 2 and max(b - a for _, a, b in parts) >= 16
     if tags[0] == 0x02:
         return 0x04 in tags and (0x06 in names or len(tags) >= 2 and tags[1] == 0x04)
+    if tags == [0x30, 0x04]:
+        return [tag for tag, _, _ in nested[0]] == [0x06, 0x30] and parts[1][2] - parts[1][1] >= 8
     return tags == [0x30, 0x03] and names == [0x06]
 
 
-def is_ssh_blob(data: bytes) -> bool:
-    """Fields of a four-byte length each that fill the blob, the first a key kind;
-    or the private container."""
-    if data.startswith(b"openssh-key-v1\x00"):
-        return True
-    fields, at = [], 0
-    while at < len(data):
+def _fields(data: bytes, at: int, count: int | None = None) -> tuple[list[bytes], int] | None:
+    """Fields of a four-byte length each from ``at``, to the end or as many as
+    ``count``, and where they end; None if one does not fit."""
+    fields = []
+    while at < len(data) if count is None else len(fields) < count:
         length = int.from_bytes(data[at : at + 4], "big")
         if at + 4 + length > len(data):
-            return False
+            return None
         fields.append(data[at + 4 : at + 4 + length])
         at += 4 + length
-    return len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", fields[0]) is not None
+    return fields, at
+
+
+def container_end(data: bytes) -> int | None:
+    """Where the private container ends: cipher, kdf and its options, the count of
+    keys, a public blob each and one private part; None if it is none."""
+    start = _fields(data, len(_CONTAINER), 3) if data.startswith(_CONTAINER) else None
+    if not start or not start[0][0] or not start[0][1]:
+        return None
+    keys = int.from_bytes(data[start[1] : start[1] + 4], "big")
+    if not 1 <= keys <= len(data) // 4:
+        return None
+    rest = _fields(data, start[1] + 4, keys + 1)
+    return rest[1] if rest and rest[0][-1] and all(map(is_ssh_blob, rest[0][:-1])) else None
+
+
+def is_ssh_blob(data: bytes) -> bool:
+    """Fields of a four-byte length each that fill the blob, the first a key kind;
+    or the private container, its fields read to the end."""
+    if data.startswith(_CONTAINER):
+        return container_end(data) == len(data)
+    found = _fields(data, 0)
+    return bool(found) and len(found[0]) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", found[0][0]) is not None
 
 
 def is_token(text: str) -> bool:
@@ -114,6 +155,90 @@ def _kind_of(data: bytes | None) -> str | None:
     return "der" if is_key_der(data) else "ssh" if is_ssh_blob(data) else None
 
 
+def _length(data: bytes) -> int | None:
+    """Bytes of the encoding that ``data`` begins with, by its own lengths."""
+    if data[:1] == b"\x30" and len(data) > 1:
+        n = data[1] & 0x7F if data[1] & 0x80 else 0
+        return 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1]) if n <= 4 else None
+    if data.startswith(_CONTAINER):
+        return container_end(data)
+    first = _fields(data, 0, 1)
+    if not first:
+        return None
+    found = _fields(data, 0, _FIELDS.get(first[0][0], 3 if first[0][0].startswith(b"ecdsa-") else None))
+    return found[1] if found else None
+
+
+def _wrapped(text: str, hexes: bool) -> list[tuple[str, int, int]]:
+    """Keys in base64 or hex that runs over real or escaped line breaks. The
+    encoding's own length says where it ends, which must be the end of a line."""
+    found, past = [], 0
+    for m in (_HEX_START if hexes else _START).finditer(text):
+        a = m.start()
+        if a < past:
+            continue
+        head = bytes.fromhex(m[0]) if hexes else _decoded(m[0])
+        end = (_HEX_LINES if hexes else _LINES).match(text, a).end()
+        need = None
+        if head[0] == 0x30:
+            size = _length(head)
+            if size is None:
+                continue
+            need = 2 * size if hexes else -(-4 * size // 3)
+            if need > end - a:
+                continue
+        at, parts, have = a, [], 0
+        while at < end and (need is None or have < need):  # line by line
+            gap = _GAP.search(text, at, end)
+            stop = gap.start() if gap else end
+            parts.append((at, text[at:stop]))
+            have += stop - at
+            at = gap.end() if gap else end
+        plain = "".join(p for _, p in parts)
+        if need is None:
+            plain = plain[: len(plain) // 2 * 2] if hexes else plain[: len(plain) - (len(plain) % 4 == 1)]
+            data = bytes.fromhex(plain) if hexes else _decoded(plain)
+            size = _length(data or b"")
+            if size is None:
+                continue
+            need = 2 * size if hexes else -(-4 * size // 3)
+        data = bytes.fromhex(plain[:need]) if hexes else _decoded(plain[:need])
+        kind = _kind_of(data)
+        if not kind:
+            continue
+        for at, part in parts:
+            need -= len(part)
+            if need <= 0:
+                break
+        if need == 0:
+            past = at + len(part)
+            past = past if hexes else _PAD.match(text, past).end()
+            found.append((kind, a, past))
+    return found
+
+
+def _armoured(text: str) -> list[tuple[str, int, int]]:
+    """Private key blocks whose body, headers apart, decodes to a key. A body that
+    its headers call encrypted parses as nothing; it must fill the cipher's blocks."""
+    found, begins = [], list(_BEGIN.finditer(text))
+    for m, after in zip(begins, [*(n.start() for n in begins[1:]), len(text)]):
+        close = f"-----END {m[1]}-----"
+        at = text.find(close, m.end(), after)
+        if at < 0:
+            continue
+        body = _ESCAPED.sub(lambda e: chr(int(e[1], 16)) if e[1] else {"n": "\n", "r": "\r", "t": "\t", "/": "/"}[e[2]], text[m.end() : at])
+        body = body.replace("\r\n", "\n").replace("\r", "\n")
+        headers = _HEADERS.match(body)
+        data = _decoded(re.sub(r"\s+", "", body[headers.end() if headers else 0 :]))
+        if not data:
+            continue
+        cipher = _CIPHER.search(headers[1]) if headers and "ENCRYPTED" in headers[1] else None
+        filled = cipher and len(data) >= 16 and len(data) % (len(cipher[1]) // 2) == 0
+        if filled or is_key_der(data) or is_ssh_blob(data):
+            found.append(("armour", m.start(), at + len(close)))
+    return found
+
+
 def scan(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then in the order of ``KINDS``."""
     if not text:
@@ -126,21 +251,23 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     if "-----BEGIN " in text:
-        for m in _ARMOUR.finditer(text):
-            data = _decoded(re.sub(r"\s+", "", m[2]))
-            if data and (is_key_der(data) or is_ssh_blob(data)):
-                found.append(("armour", *m.span()))
-    if "eyJ" in text:
-        found += [("token", *m.span()) for m in _TOKEN.finditer(text) if is_token(m[0])]
+        found += _armoured(text)
+    past = 0
+    for m in _TOKEN.finditer(text) if "." in text else ():
+        if m.start() >= past and is_token(m[1]):
+            past = m.end(1)
+            found.append(("token", *m.span(1)))
     for m in _BLOB.finditer(text):  # a hex run of 24 or more lies in such a run
         for h in _HEX.finditer(text, *m.span()):
             found.append(("hex", *h.span()))
+        for h in [*_HEX.finditer(text, *m.span()), *_ANY_HEX.finditer(text, *m.span())]:
             kind = _kind_of(bytes.fromhex(h[0])) if len(h[0]) % 2 == 0 else None
             if kind:
                 found.append((kind, *h.span()))
         kind = _kind_of(_decoded(m[0]))
         if kind:
             found.append((kind, *m.span()))
+    found += _wrapped(text, False) + _wrapped(text, True)
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
