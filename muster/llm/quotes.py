@@ -1,9 +1,9 @@
 """Conversations put in reply order by linking quotations.
 
 A reply often quotes what it answers: lines led by ``>``, one mark a level. The
-quoted passages of a message are taken out by level, normalised and hashed, and
-joined to the passages that other messages wrote themselves; the newest earlier
-message that wrote one is what the reply answers. Messages then follow what they
+quoted passages of a message are taken out by level and normalised, and they, their
+lines and their sentences are joined to what earlier messages wrote themselves; the
+newest earlier message that wrote them is what the reply answers. Messages then follow what they
 answer, and their own words remain without the quotations.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from muster.llm.common import cut
 
 MARKS = r"^((?:[ \t]*>)*)[ \t]?(.*)$"
+SENTENCE = r"(?<=[.!?…])[\"'”’)\]]*\s+|(?<=[。！？])"
 
 
 def _lines(text: Column) -> Column:
@@ -34,63 +35,104 @@ def _normal(text: Column) -> Column:
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """(conv, turn, level, passage): runs of lines of one level, cut at blank lines,
-    normalised; those without a letter or digit are left out."""
-    lines = messages.select("conv", "turn", F.posexplode("lines").alias("i", "line"))
-    lines = lines.select("conv", "turn", "i", "line.level", _normal(F.col("line.body")).alias("body"))
+    """(conv, at, level, part, passage, pieces) of ``messages(conv, at, lines)``, one row
+    each: runs of lines of one level, cut at blank lines, normalised; those without a
+    letter or digit are left out. Pieces are the lines and the sentences of a passage
+    and the passage itself."""
+    lines = messages.select("conv", "at", F.posexplode("lines").alias("i", "line"))
+    lines = lines.select("conv", "at", "i", "line.level", F.col("line.body").alias("raw"), _normal(F.col("line.body")).alias("body"))
     # a passage starts where the level changes or after a line without words
-    same = "OVER (PARTITION BY conv, turn ORDER BY i)"
+    same = "OVER (PARTITION BY conv, at ORDER BY i)"
     starts = F.expr(f"CASE WHEN level <> lag(level) {same} OR lag(body) {same} = '' THEN 1 ELSE 0 END")
     numbered = lines.withColumn("start", starts).withColumn("part", F.expr(f"sum(start) {same}"))
-    runs = numbered.where("body <> ''").groupBy("conv", "turn", "part", "level").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "body"))), lambda x: x["body"]), " ").alias("passage")
+    runs = numbered.where("body <> ''").groupBy("conv", "at", "part", "level").agg(
+        F.array_sort(F.collect_list(F.struct("i", "body", "raw"))).alias("run")
     )
-    return runs.select("conv", "turn", "level", "passage")
-
-
-def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-         least_words: int = 3) -> DataFrame:
+    bodies = F.transform("run", lambda x: x["body"])
+    raw = F.array_join(F.transform("run", lambda x: x["raw"]), " ")
+    sentences = F.transform(F.split(raw, SENTENCE), _normal)
+    runs = runs.withColumn("passage", F.array_join(bodies, " "))
+    pieces = F.array_distinct(F.array_remove(F.concat(bodies, sentences, F.array("passage")), ""))
+    return runs.select("conv", "at", "level", "part", "passage", pieces.alias("pieces"))
+
+
+def _authors(found: DataFrame) -> DataFrame:
+    """(conv, at, source) per message whose quotations meet an earlier message, its source.
+
+    Each piece of a quotation goes to the latest message of an earlier turn that has it
+    one level further out. A quoted passage goes to who has it as a whole passage, else
+    to the message with most words of its pieces, then the latest; a message to the
+    latest of its outermost passages that went to any. Writers and quotations of a
+    piece are walked in turn order together, so no pairs are made.
+    """
+    rows = found.select("conv", "at", "level", "part", F.explode(F.concat(
+        F.array(F.struct(F.lit(True).alias("whole"), F.col("passage").alias("piece"))),
+        F.transform("pieces", lambda p: F.struct(F.lit(False).alias("whole"), p.alias("piece"))),
+    )).alias("x")).select("conv", "at", "level", "part", "x.whole", "x.piece")
+    wanted = rows.where("level > 0").withColumn("asks", F.lit(True))
+    given = rows.withColumns({"level": F.col("level") + 1, "asks": F.lit(False)})
+    given = given.join(wanted.select("conv", "level", "whole", "piece").distinct(), ["conv", "level", "whole", "piece"], "left_semi")
+    # who quotes in a turn comes before who writes in it, so only earlier turns are seen
+    latest = F.expr("""last(CASE WHEN NOT asks THEN at END, true) OVER (PARTITION BY conv, level, whole, piece
+        ORDER BY at.turn, asks DESC, at.rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+    met = wanted.unionByName(given).withColumn("source", latest).where("asks and source is not null")
+    words = F.sum(F.size(F.split("piece", " ")))
+    covered = met.groupBy("conv", "at", "level", "part", "source").agg(F.max("whole").alias("whole"), words.alias("words"))
+    chosen = covered.groupBy("conv", "at", "level", "part").agg(F.max_by("source", F.struct("whole", "words", "source")).alias("source"))
+    return chosen.groupBy("conv", "at").agg(F.max_by("source", F.struct(-F.col("level"), "source")).alias("source"))
+
+
+def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv, turn, role, text without quotations, depth, n_quotes, parent_turn, linked, place) per message.
 
-    A quotation at level 1 is matched to what earlier messages of the conversation
-    wrote at level 0, one at level n to what they quoted at level n - 1; passages
-    under ``least_words`` words link nothing. The parent is the latest message that
-    wrote or quoted one of the message's outermost quotations; without one it is the
-    message of the turn before (linked is false), the first has none. ``place``
-    numbers messages along the replies: by the turn of the conversation's branch,
-    then by turn, so that an answer follows what it answers.
+    A quotation at level 1 is matched to what messages of earlier turns of the
+    conversation wrote at level 0, one at level n to what they quoted at level n - 1:
+    as a whole passage, by its lines and by its sentences, short ones as well, always
+    normalised and exact (see ``_authors``). A quotation that cuts lines and
+    sentences alike meets nothing. The parent is the message that most of one of the
+    outermost quotations comes from; without one it is the last message of the turn
+    before (linked is false), the first has none. ``place`` numbers messages along the
+    replies: by the turn of the conversation's branch, then by turn, so that an answer
+    follows what it answers.
 
     A null text is empty; rows with a null conversation or turn are kept, link to
-    nothing and have no place; the same (conversation, turn) twice is one message
-    per row, with the smaller text first. An empty table gives no rows; other
-    columns are left out. Conversations are small groups; a passage common to very
-    many of them meets only within each.
+    nothing and have no place. Equal rows are one message and get the same values;
+    rows of one (conversation, turn) that differ are a message each, with the smaller
+    text first. An empty table gives no rows; other columns are left out. Only
+    conversations with a quotation are taken apart.
     """
     rows = messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"),
                            F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("lines", _lines(F.col("text")))
     depth = F.array_max(F.transform("lines", lambda x: x["level"]))
     own = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["body"]), "\n")
-    rows = rows.withColumns({"depth": depth, "own": own})
-    found = cut(passages(rows.where("conv is not null and turn is not null").select("conv", "turn", "lines"))
-                .withColumn("words", F.size(F.split("passage", " "))))
-    wanted = found.where((F.col("level") > 0) & (F.col("words") >= least_words))
-    wanted = wanted.select("conv", "turn", F.col("level").alias("at"), F.xxhash64("passage").alias("h"), "passage")
-    given = found.where(F.col("words") >= least_words).select(
-        "conv", F.col("turn").alias("from"), (F.col("level") + 1).alias("at"), F.xxhash64("passage").alias("h"), "passage"
-    ).distinct()
-    met = wanted.join(given, ["conv", "at", "h", "passage"]).where(F.col("from") < F.col("turn"))
-    parents = met.groupBy("conv", "turn").agg(F.max_by("from", F.struct(-F.col("at"), "from")).alias("parent"))
-    quotes = wanted.groupBy("conv", "turn").agg(F.count("*").alias("n_quotes"))
-    turns = rows.where("conv is not null and turn is not null").select("conv", "turn").distinct()
-    before = turns.withColumn("before", F.expr("lag(turn) OVER (PARTITION BY conv ORDER BY turn)"))
-    tree = before.join(parents, ["conv", "turn"], "left").join(quotes, ["conv", "turn"], "left")
-    tree = tree.select("conv", "turn", "before", F.coalesce("parent", "before").alias("parent"),
-                       F.col("parent").isNotNull().alias("linked"), F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"))
-    placed = _in_reply_order(tree)
-    out = rows.join(placed, ["conv", "turn"], "left")
+    row = F.xxhash64("text", "role", F.col("role").isNull())
+    rows = rows.withColumns({"depth": depth, "own": own, "row": row})
+    known = rows.where("conv is not null and turn is not null")
+    kinds = known.groupBy("conv", "turn").agg(F.min("row").alias("one"), F.max("row").alias("other"))
+    clash = kinds.where("one <> other").select("conv", "turn")
+    ranks = known.join(clash, ["conv", "turn"], "left_semi").select("conv", "turn", "row", "text", "role").distinct()
+    rank = F.expr("row_number() OVER (PARTITION BY conv, turn ORDER BY text, role, row)")
+    ranks = cut(ranks.select("conv", "turn", "row", rank.alias("rank")))
+    at = F.struct("turn", F.coalesce("rank", F.lit(1)).alias("rank"))
+    rows = rows.join(ranks, ["conv", "turn", "row"], "left").withColumn("at", at)
+    quoting = rows.where("conv is not null and turn is not null and depth > 0").select("conv").distinct()
+    taken = rows.where("turn is not null").select("conv", "at", "lines").join(quoting, "conv", "left_semi")
+    found = cut(passages(taken.dropDuplicates(["conv", "at"])))
+    quotes = found.where("level > 0").groupBy("conv", "at").agg(F.count("*").alias("n_quotes"))
+    turns = kinds.select("conv", "turn").join(ranks.groupBy("conv", "turn").agg(F.max("rank").alias("last")), ["conv", "turn"], "left")
+    turns = turns.withColumn("last", F.coalesce("last", F.lit(1)))
+    prior = F.expr("lag(struct(turn, last AS rank)) OVER (PARTITION BY conv ORDER BY turn)")
+    each = turns.withColumn("prior", prior).withColumn("rank", F.explode(F.sequence(F.lit(1), F.col("last"))))
+    before = F.when(F.col("rank") > 1, F.struct("turn", (F.col("rank") - 1).alias("rank"))).otherwise(F.col("prior"))
+    tree = each.select("conv", F.struct("turn", "rank").alias("at"), "prior", before.alias("before"))
+    tree = tree.join(_authors(found), ["conv", "at"], "left").join(quotes, ["conv", "at"], "left")
+    tree = tree.select("conv", F.col("at").alias("turn"), "before", F.coalesce("source", "prior").alias("parent"),
+                       F.col("source").isNotNull().alias("linked"), F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"))
+    placed = _in_reply_order(tree).withColumnRenamed("turn", "at")
+    out = rows.join(placed, ["conv", "at"], "left")
     return out.select(F.col("conv").alias(conv), F.col("turn").alias(turn), F.col("role").alias(role),
                       F.col("own").alias(text), "depth", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
-                      F.col("parent").alias("parent_turn"), F.coalesce("linked", F.lit(False)).alias("linked"), "place")
+                      F.col("parent.turn").alias("parent_turn"), F.coalesce("linked", F.lit(False)).alias("linked"), "place")
 
 
 def _in_reply_order(tree: DataFrame) -> DataFrame:
