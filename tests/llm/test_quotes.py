@@ -26,3 +26,20 @@ def test_partial_and_short_quotations_link(spark):
     assert found[1, 6] == (4, True, 1) and found[1, 7] == (0, True, 2)
     assert found[2, 3] == (0, True, 1) and found[3, 3] == (0, True, 1)
     assert found[4, 0] == (None, False, 1)
+
+
+def test_repeated_and_clashing_turns(spark):
+    rows = [(1, 0, "u", "Hello there friend"), (1, 0, "u", "Hello there friend"), (1, 1, "a", "Aside"),
+            (1, 2, "a", "> Hello there friend\nHi"), (1, 2, "a", "> Hello there friend\nHi"),
+            (2, 0, "u", "b first line\nb second line"), (2, 0, "u", "a first line\na second line"), (2, 1, "x", "middle"),
+            (2, 2, "a", "> b first line\n> b second line\nanswer b"), (2, 2, "a", "> a first line\n> a second line\n\n> middle\nanswer a"),
+            (2, 3, None, "end")]
+    got = linked(spark, rows)
+    assert len(got) == len(rows)
+    one = [(r.turn, r.parent_turn, r.linked, r.n_quotes, r.place) for r in got if r.conv_id == 1]
+    assert sorted(one) == sorted([(0, None, False, 0, 1)] * 2 + [(1, 0, False, 0, 2)] + [(2, 0, True, 1, 3)] * 2)
+    two = {(r.turn, r.text): (r.parent_turn, r.linked, r.n_quotes) for r in got if r.conv_id == 2}
+    assert two[2, "answer b"] == (0, True, 1) and two[2, "\nanswer a"] == (1, True, 2)
+    assert two[0, "a first line\na second line"] == two[0, "b first line\nb second line"] == (None, False, 0)
+    places = {r.place: (r.turn, r.text[:8]) for r in got if r.conv_id == 2}
+    assert sorted(places) == [1, 2, 3, 4, 5, 6] and places[1] == (0, "a first ") and places[2] == (0, "b first ")
