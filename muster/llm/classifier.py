@@ -29,6 +29,7 @@ DIMS = 48
 SHAPE_DIMS = 24
 NEAR = 2  # neighbours to either side
 MEMO = 500_000
+LONG = 64  # characters; longer words are placed anew each time
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUNS = re.compile(r"(.)\1+")
 
@@ -43,8 +44,8 @@ def index_vectors(rows: int, dims: int, seed: int, ones: int = 4) -> np.ndarray:
 
 
 def _shape(word: str) -> str:
-    """Case, digits and marks of a word, runs shortened: 'Xx', 'x,', 'X!'."""
-    marked = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64])
+    """Case, digits and marks of a whole word, runs shortened: 'Xx', 'x,', 'X!'."""
+    marked = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word)
     return _RUNS.sub(r"\1", marked)
 
 
@@ -59,7 +60,7 @@ class _Places(dict):
         if len(self) > MEMO:
             self.clear()
         # plain words, alone or before a mark, are most; their core and shape need no look at each letter
-        plain, mark = (word[:-1], word[-1]) if word[-1] in ".,;:!?" and len(word) <= 64 else (word, "")
+        plain, mark = (word[:-1], word[-1]) if word[-1] in ".,;:!?" else (word, "")
         if plain.isalpha() and plain.islower():
             core, shape = plain.lower(), "x" + mark
         elif plain.isalpha() and plain[0].isupper() and plain[1:].islower():
@@ -68,7 +69,8 @@ class _Places(dict):
             core, shape = _core(word), _shape(word)
         row = zlib.crc32(core.encode("utf-8", "surrogatepass")) % WORDS
         place = row * SHAPES + 1 + zlib.crc32(shape.encode("utf-8", "surrogatepass")) % (SHAPES - 1)
-        self[word] = place
+        if len(word) <= LONG:
+            self[word] = place
         return place
 
 
