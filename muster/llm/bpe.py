@@ -25,29 +25,36 @@ from pyspark.sql import functions as F
 
 from muster.llm.common import map_batches
 
-MEMO = 96 << 20  # bytes of words a worker remembers before it starts again
+MEMO = 224 << 20  # bytes of words a worker remembers before it starts again
 ROWS = 1 << 20  # token positions of one recursive query
-WORDS = 300_000  # words of the texts worked on together
+WORDS = 600_000  # words of the texts worked on together
 BLOCK, STRIDE = 128, 64  # bytes of a block of a longer word, and from one block to the next
 PLACE = 20  # bits of a position
 
-# One round: a row's pair with the row after it, by the merge table, as one number
-# of rank, position and position after, so that a minimum names the pair to contract.
+# One round over rows that know the token after theirs: each pair by the merge table, and as
+# best of the word the least number of rank, position and position after.
 _PAIRS = f"""
-    SELECT word, pos, token, min(found) OVER (PARTITION BY word) AS best FROM (
-        SELECT t.word, t.pos, t.token, (m.rank::BIGINT << {2 * PLACE}) | (t.pos::BIGINT << {PLACE}) | t.after AS found
-        FROM (SELECT word, pos, token, lead(token) OVER w AS following, lead(pos) OVER w AS after
-              FROM ({{rows}}) WINDOW w AS (PARTITION BY word ORDER BY pos)) t
-        LEFT JOIN merges m ON m.first = t.token AND m.second = t.following)
+    SELECT * FROM (
+        WITH pairs AS MATERIALIZED (
+            SELECT t.*, (m.rank::BIGINT << {2 * PLACE}) | (t.pos::BIGINT << {PLACE}) | t.after AS found
+            FROM ({{rows}}) t LEFT JOIN merges m ON m.first = t.token AND m.second = t.following),
+        least AS (SELECT word, min(found) AS best FROM pairs GROUP BY word)
+        SELECT word, pos, token, after, following, best FROM pairs JOIN least USING (word))
 """
+# The pair at ``best`` becomes one token: its second row goes, and the rows beside learn of it.
+_HEAD, _MERGED, _GONE = (f"((s.best >> {PLACE}) & {(1 << PLACE) - 1})", f"(s.best >> {2 * PLACE})::INTEGER",
+                         f"(s.best & {(1 << PLACE) - 1})")
 _CONTRACTED = f"""
-    SELECT word, pos, CASE WHEN pos = (best >> {PLACE}) & {(1 << PLACE) - 1}
-                           THEN (best >> {2 * PLACE})::INTEGER ELSE token END AS token
-    FROM step WHERE best IS NOT NULL AND pos <> best & {(1 << PLACE) - 1}
+    SELECT s.word, s.pos,
+           CASE WHEN s.pos = {_HEAD} THEN {_MERGED} ELSE s.token END AS token,
+           CASE WHEN s.pos = {_HEAD} THEN gone.after ELSE s.after END AS after,
+           CASE WHEN s.pos = {_HEAD} THEN gone.following WHEN s.after = {_HEAD} THEN {_MERGED} ELSE s.following END AS following
+    FROM step s JOIN step gone ON gone.word = s.word AND gone.pos = {_GONE.replace("s.best", "gone.best")}
+    WHERE s.best IS NOT NULL AND s.pos <> {_GONE}
 """
 ENCODE = f"""
-    WITH RECURSIVE step(word, pos, token, best) AS (
-        {_PAIRS.format(rows="SELECT word, pos, token FROM pieces")}
+    WITH RECURSIVE step(word, pos, token, after, following, best) AS (
+        {_PAIRS.format(rows="SELECT word, pos, token, after, following FROM pieces")}
         UNION ALL
         {_PAIRS.format(rows=_CONTRACTED)})
     SELECT word, list(token ORDER BY pos) AS tokens FROM step WHERE best IS NULL GROUP BY word ORDER BY word
@@ -90,8 +97,9 @@ class Bpe:
             self._base.register(name, table)
         return self._base
 
-    def _contract(self, words: list[bytes]) -> Iterator[np.ndarray]:
-        """Ids of words of at most ROWS bytes each, a query for about ROWS bytes."""
+    def _contract(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of words of at most ROWS bytes each, as little-endian unsigned 32-bit numbers;
+        a query for about ROWS bytes."""
         first = 0
         while first < len(words):
             last, size = first, 0
@@ -101,20 +109,27 @@ class Bpe:
             part, first = words[first:last], last
             lengths = np.fromiter(map(len, part), np.int64, len(part))
             flat = np.frombuffer(b"".join(part), np.uint8)
-            starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+            ends = np.cumsum(lengths)
+            place = np.arange(len(flat)) - np.repeat(ends - lengths, lengths)
+            ids = self._single[flat]
+            last_byte = np.zeros(len(flat), bool)
+            last_byte[ends - 1] = True
             pieces = pa.table({
                 "word": np.repeat(np.arange(len(part), dtype=np.int32), lengths),
-                "pos": (np.arange(len(flat)) - starts).astype(np.int32),
-                "token": self._single[flat],
+                "pos": place.astype(np.int32),
+                "token": ids,
+                "after": pa.array((place + 1).astype(np.int32), mask=last_byte),
+                "following": pa.array(np.roll(ids, -1), mask=last_byte),
             })
             column = self._with(pieces=pieces).sql(ENCODE).to_arrow_table()["tokens"].combine_chunks()
-            edges, ids = column.offsets.to_numpy(), column.values.to_numpy()
+            edges = (column.offsets.to_numpy() * 4).tolist()
+            found = column.values.to_numpy().astype("<u4").tobytes()
             for a, b in zip(edges, edges[1:]):
-                yield ids[a:b]
+                yield found[a:b]
 
     def _ids(self, words: list[bytes]) -> dict[bytes, np.ndarray]:
         distinct = list(dict.fromkeys(words))
-        return dict(zip(distinct, self._contract(distinct)))
+        return {word: np.frombuffer(ids, "<u4") for word, ids in zip(distinct, self._contract(distinct))}
 
     def _apart(self, pairs: list[tuple[int, int]]) -> set[tuple[int, int]]:
         """The pairs of tokens that stay two tokens when their bytes are encoded."""
@@ -173,7 +188,7 @@ class Bpe:
         while place < len(word):
             block = word[place:place + size]
             if block not in memo:
-                memo[block] = next(self._contract([block])).tolist()
+                memo[block] = self._ids([block])[block].tolist()
             ids = memo[block]
             if out:
                 pair = (out[-1], ids[0])
@@ -190,7 +205,7 @@ class Bpe:
             out += ids
             place += sum(len(self._tokens[i]) for i in ids)
             size = BLOCK
-        return np.array(out, np.int32)
+        return np.array(out, "<u4")
 
     def learn(self, words: set[str]) -> None:
         """Make ``words`` known: their ids as little-endian unsigned 32-bit numbers."""
@@ -201,10 +216,10 @@ class Bpe:
         coded = [w.encode() for w in new]
         short = [i for i, w in enumerate(coded) if len(w) <= BLOCK]
         for i, ids in zip(short, self._contract([coded[i] for i in short])):
-            self._memo[new[i]] = ids.astype("<u4").tobytes()
+            self._memo[new[i]] = ids
         for i, word in enumerate(coded):
             if len(word) > BLOCK:
-                self._memo[new[i]] = self._long(word).astype("<u4").tobytes()
+                self._memo[new[i]] = self._long(word).tobytes()
         self._held += sum(200 + len(w) + len(self._memo[w]) for w in new)
 
     def encode(self, words: list[str]) -> bytes:
