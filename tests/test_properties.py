@@ -153,6 +153,43 @@ def test_vehicle_of_two_types_goes_to_the_first_turn(spark):
         assert dict(rows(got.where("source = 'free'"), "generic", "default_vehicle")) == walk
 
 
+def test_a_chain_of_units_settles_and_the_state_shrinks(spark):
+    """Every unit but the first wants the vehicle of the one before it first, then its own."""
+    logons = [(f"U{u:02d}", f"{v:03d}", n) for u in range(48) for v, n in ((u - 1, 2), (u, 1)) if v >= 0]
+    recent = spark.createDataFrame(logons, "generic string, carid string, n int").select(
+        "generic", "carid", F.lit("T").alias("vehicle_type"), F.explode(F.sequence(F.lit(1), "n")))
+    wanted = recent.select("generic", F.lit("T").alias("expected_type")).distinct()
+    order = recent.select("generic").distinct().select(
+        "generic", F.struct(F.lit("").alias("_first"), F.col("generic").alias("_unit")).alias("turn"))
+    seen = []
+    got = assign.default_vehicle(recent, wanted, order, watch=seen.append)
+    # the first takes 0, so each one after it is left with its own
+    assert rows(got) == [(f"U{u:02d}", f"{u:03d}") for u in range(48)]
+    assert seen[-1] == 0 and all(a > b for a, b in zip(seen, seen[1:]))
+
+
+@pytest.mark.parametrize("units, vehicles, names, size", [(1000, 1000, 2, 10_000), (1000, 1000, 2, 80), (300, 400, 5, 30)])
+def test_vehicles_of_several_types_in_few_rounds(spark, units, vehicles, names, size):
+    rng = random.Random(units + size)
+    types = [f"T{i}" for i in range(names)]
+    queue = [(f"U{i:04d}", rng.choice(types)) for i in range(units)]
+    listed = [(f"{v:04d}", name) for v in range(vehicles) for name in (rng.sample(types, 2) if names > 2 else types)]
+    taken, walk = set(), {}
+    for unit, name in queue:
+        open_to = [v for v, t in listed if t == name and v not in taken]
+        if open_to:
+            walk[unit] = open_to[0]
+            taken.add(open_to[0])
+    wanted = spark.createDataFrame(queue, "generic string, expected_type string")
+    none = spark.createDataFrame([], "generic string, default_vehicle string")
+    uses = spark.createDataFrame([(u, "999", 1) for u, _ in queue], "generic string, carid string, n bigint")
+    given = spark.createDataFrame(listed, "vehicle string, vehicle_type string")
+    seen = []
+    got = assign.default_vehicle_fill(wanted, none, assign.unit_order(uses), uses, given, slice_size=size, watch=seen.append)
+    assert dict(rows(got.where("source = 'free'"), "generic", "default_vehicle")) == walk
+    assert len(seen) < 20 and seen[-1] == 0
+
+
 def test_numbers_run_through_large_groups(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("g"), ((F.col("id") * 7919) % 1000).alias("v")
