@@ -2,7 +2,8 @@
 
 No broadcast is forced: the planner broadcasts a side only where its size is
 known to be under spark.sql.autoBroadcastJoinThreshold, and adaptive execution
-splits skewed partitions of the sort-merge joins that remain.
+splits skewed partitions of the sort-merge joins that remain. Where very few keys
+hold all rows, ``split_join`` deals them out by counted sizes.
 """
 
 from __future__ import annotations
@@ -109,8 +110,33 @@ def default_by_kind(history: DataFrame, defaults: Sequence[tuple[str, str]] = fi
     ).where(F.col("assumed_type").isNotNull())
 
 
+def split_join(large: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Inner or left join of a large table with a small one on few keys.
+
+    Rows are counted by key first, in a pass over the keys that combines where the rows
+    lie. A key with more rows than a task's even share is cut into so many pieces: its
+    rows are dealt by a hash of the row, and the small table's rows for it are repeated,
+    once a piece. Fewer keys than tasks can be that large, so their list is short. Rows
+    that are equal in all columns stay together; aggregate them before.
+    """
+    parts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.xxhash64(*keys)
+    counts = large.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
+    counts = counts.withColumn("share", F.lit(counts.agg(F.sum("n")).scalar()) / parts).where("n > share")
+    pieces = {row.key: row.pieces for row in counts.select("key", F.ceil(F.col("n") / F.col("share")).alias("pieces")).collect()}
+    if not pieces:
+        return large.join(small, list(keys), how)
+    many = F.create_map(*[F.lit(v) for pair in pieces.items() for v in pair])
+    dealt = large.withColumn("_pieces", F.coalesce(F.try_element_at(many, key), F.lit(1)))
+    dealt = dealt.withColumn("_piece", F.pmod(F.xxhash64(*large.columns, F.lit("piece")), "_pieces")).drop("_pieces")
+    count = F.coalesce(F.try_element_at(many, key), F.lit(1))
+    repeated = small.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1)))
+    return dealt.join(repeated, [*keys, "_piece"], how).drop("_piece")
+
+
 def group_default(rows: DataFrame, dominant: DataFrame) -> DataFrame:
-    return rows.join(dominant, ["dgroup", "kind"], "inner")
+    """Rows with the dominant type of their group and kind: very few keys for all rows."""
+    return split_join(rows, dominant, ["dgroup", "kind"])
 
 
 def score_join(rows: DataFrame, predictions: DataFrame) -> DataFrame:

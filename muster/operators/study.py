@@ -161,9 +161,11 @@ def change_rate(transitions: DataFrame) -> DataFrame:
 def type_runs(cells: DataFrame, *, period: str = "month") -> DataFrame:
     """Lengths of runs of one type per unit, the unit's first shift left out.
 
-    Runs are cut at slice borders first. Runs that touch no border are final;
-    at most two per slice touch one and are merged over the slices of a unit. One
-    branch, nothing is written.
+    A unit's cells are summed up slice by slice as (first run, last run, closed runs).
+    Closed runs are final and go out as they are, one row each. Two summaries merge into
+    one by joining the last run of the one to the first of the other where their types
+    agree, so only the two outer runs of a slice meet those of the unit's other slices.
+    No row and no task holds a slice's or a unit's runs as a list.
     """
     inside = Window.partitionBy("generic", "slice").orderBy(*ORDER)
     changed = F.when(F.col("vehicle_type") == F.lag("vehicle_type").over(inside), 0).otherwise(1)
@@ -174,40 +176,24 @@ def type_runs(cells: DataFrame, *, period: str = "month") -> DataFrame:
     runs = numbered.groupBy("generic", "slice", "run").agg(
         F.first("vehicle_type").alias("vehicle_type"), F.sum("n").alias("length")
     )
-    slices = runs.groupBy("generic", "slice").agg(
-        F.array_sort(F.collect_list(F.struct("run", "vehicle_type", "length"))).alias("runs")
-    )
-
-    def edge(run, inner):
-        return F.struct(run["run"].alias("run"), run["vehicle_type"].alias("vehicle_type"),
-                        run["length"].alias("length"), inner.alias("inner"))
-
-    # The first run of a slice carries the inner ones, which are final.
-    count = F.size("runs")
-    inner = F.transform(
-        F.slice("runs", 2, F.greatest(count - 2, F.lit(0))), lambda r: F.struct(r["vehicle_type"], r["length"])
-    )
-    first = edge(F.element_at("runs", 1), inner)
-    last = edge(F.element_at("runs", -1), F.slice(inner, 1, 0))
-    edges = slices.select(
-        "generic", "slice", F.inline(F.when(count > 1, F.array(first, last)).otherwise(F.array(first)))
-    )
+    # The window follows the aggregate's partitioning; both branches read one shuffle.
+    runs = runs.withColumn("_last", F.max("run").over(Window.partitionBy("generic", "slice")))
+    closed = runs.where("run > 1 AND run < _last").select("generic", "vehicle_type", "length")
+    outer = runs.where("run = 1 OR run = _last")
     across = Window.partitionBy("generic").orderBy("slice", "run")
     joined = (F.col("vehicle_type") == F.lag("vehicle_type").over(across)) & (
         F.col("slice") != F.lag("slice").over(across)
     )
-    edges = edges.withColumn("_change", F.when(joined, 0).otherwise(1))
-    edges = edges.withColumn(
+    outer = outer.withColumn("_change", F.when(joined, 0).otherwise(1))
+    outer = outer.withColumn(
         "_run", F.sum("_change").over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    # A merged run ends in the slice whose inner runs it carries, so it carries those of one slice.
-    merged = edges.groupBy("generic", "_run").agg(
-        F.first("vehicle_type").alias("vehicle_type"), F.sum("length").alias("_sum"),
-        F.flatten(F.collect_list("inner")).alias("inner"),
+    merged = outer.groupBy("generic", "_run").agg(
+        F.first("vehicle_type").alias("vehicle_type"), F.sum("length").alias("_sum")
     )
     length = F.col("_sum") - F.when(F.col("_run") == 1, 1).otherwise(0)
-    whole = F.array(F.struct("vehicle_type", length.alias("length")))
-    return merged.select("generic", F.inline(F.concat(whole, "inner"))).where("length > 0")
+    merged = merged.select("generic", "vehicle_type", length.alias("length")).where("length > 0")
+    return closed.unionByName(merged)
 
 
 def long_runs(runs: DataFrame, *, longer_than: int = 5) -> DataFrame:

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muster.functions import codes
+from muster.operators.numbering import running_sums
 
 
 def text_list(column: str) -> Column:
@@ -44,17 +45,10 @@ def usage_order() -> list[Column]:
 
 
 def usage_ecdf(counts: DataFrame) -> DataFrame:
-    """Share of (group, vehicle) pairs with at most n logons.
-
-    The running sum has one partition but sees only the distinct counts: m of
-    them need m(m+1)/2 logons, so 10^12 logons give at most 1.5 million rows.
-    """
+    """Share of (group, vehicle) pairs with at most n logons."""
     sizes = counts.groupBy("n").agg(F.count("*").alias("pairs"))
-    upto = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return sizes.select(
-        "n", "pairs", (F.sum("pairs").over(upto) / F.sum("pairs").over(everything)).alias("share")
-    )
+    summed = running_sums(sizes, "n", "pairs", "upto", "everything")
+    return summed.select("n", "pairs", (F.col("upto") / F.col("everything")).alias("share"))
 
 
 def _vehicle_groups(counts: DataFrame) -> DataFrame:
