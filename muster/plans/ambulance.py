@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.operators import filters, fleet, joins, publish, usage
+from muster.sources import quality
 
 
 def uses(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
@@ -20,7 +21,8 @@ def uses(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
 
 def described(history: DataFrame, shifts: DataFrame, assets: DataFrame, mapping: DataFrame,
               legacy: DataFrame, *, as_of: dt.date) -> DataFrame:
-    """Routine vehicles with fleet record, mapped unit type and legacy type."""
+    """Routine vehicles with fleet record, mapped unit type and legacy type. Registers pass their gates."""
+    assets, legacy = quality.checked(assets, "fleet_assets"), quality.checked(legacy, "legacy_vehicles")
     routine = usage.routine_vehicles(usage.usage_counts(uses(history, shifts, as_of=as_of)))
     with_record = joins.routine_fleet(routine, filters.in_service_fleet(assets))
     return joins.legacy_types(joins.config_lookup(with_record, mapping), legacy)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from muster.operators import contractors, filters, forms, joins, usage
 from muster.session import cut
+from muster.sources import quality
 
 
 def contracted_units(shifts: DataFrame, *, as_of: dt.date) -> DataFrame:
@@ -40,6 +41,7 @@ def direct_uses(history: DataFrame, shifts: DataFrame, *, as_of: dt.date) -> Dat
 
 def vehicles(history: DataFrame, shifts: DataFrame, legacy: DataFrame, *, as_of: dt.date) -> DataFrame:
     """Vehicle list of each contractor. Uses are written once, so history is read once."""
+    legacy = quality.checked(legacy, "legacy_vehicles")
     uses = cut(road_uses(history))
     return contractors.contractor_vehicles(
         contracted_of(uses, shifts, as_of=as_of), direct_of(uses, shifts, as_of=as_of), legacy
@@ -69,8 +71,10 @@ def run(history: DataFrame, shifts: DataFrame, legacy: DataFrame, *, as_of: dt.d
 
     All uses are written once, so history is read once. The contracted ones
     serve the list and the classes, the classed list both forms. Reports are
-    computed when read.
+    computed when read. Registers pass their gates.
     """
+    legacy = quality.checked(legacy, "legacy_vehicles")
+    fleet = fleet if fleet is None else quality.checked(fleet, "fleet_assets")
     uses = cut(usage.unit_uses(history))
     road = filters.road_units(uses, "carid", dash=False)
     contracted = cut(contracted_of(road, shifts, as_of=as_of))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from muster.functions import fixed
 from muster.operators import evaluate, expected, filters, publish
 from muster.session import cut
-from muster.sources import tables
+from muster.sources import tables, versions
 
 
 def rows(history: DataFrame, workload: DataFrame, inventory: DataFrame, register: DataFrame, *,
@@ -50,6 +50,21 @@ def write_update(production: DataFrame, stored: DataFrame, path: str, *, k: int
     return production.sparkSession.read.parquet(path)
 
 
+def commit_update(production: DataFrame, store: versions.Versions, *, k: int = 7, threshold: float = 0.5) -> versions.Version:
+    """Change the newest version of a store and commit the result as the next one.
+
+    Refused with ``StaleVersion`` if another update is committed meanwhile; called again
+    it starts from that one. An update without changes commits nothing.
+    """
+    newest = store.current()
+    if newest is None:
+        raise ValueError("the store has no version to update")
+    changes = cut(update(production, newest.rows, k=k, threshold=threshold))
+    if changes.isEmpty():
+        return newest
+    return store.commit(publish.stored_after(tables.stored_assignments(newest.rows), changes), newest.number)
+
+
 def test(production: DataFrame, inventory: DataFrame, *, as_of: dt.date, days: int = 30,
          settings: Sequence[tuple[int, float]] = fixed.SWEEP_SETTINGS, apply_filter: bool = False) -> dict[str, DataFrame]:
     """Match counts of all settings over the last days, in total and by day.

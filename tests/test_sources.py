@@ -22,13 +22,6 @@ def test_csv_load(spark, tmp_path):
     ]
 
 
-def test_files_of_unlike_headers_fail(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("CARID,UNID,CDTS2,CDTS\n1,U,2019-05-01 07:00:00,x\n")
-    (tmp_path / "b.csv").write_text("UNID,CARID,CDTS2,CDTS\nU,1,2019-05-01 07:00:00,x\n")
-    with pytest.raises(Exception, match="header|schema"):
-        tables.load(spark, {"unit_history": str(tmp_path)})["unit_history"].collect()
-
-
 def test_only_a_local_session_goes_without_a_shared_folder():
     class Context:
         master = "spark://somewhere:7077"
