@@ -18,6 +18,16 @@ def mapping_seed(fleet: DataFrame, columns=tuple(fixed.CONFIG_COLUMNS)) -> DataF
     return kept.select(*[F.lower(name).alias(name) for name in columns]).distinct()
 
 
+def new_vehicles(fleet: DataFrame, legacy: DataFrame) -> DataFrame:
+    """Fleet records whose id no legacy vehicle has as its name."""
+    return joins.anti_missing(fleet, "vehicle_id", legacy, "name")
+
+
+def lost_vehicles(legacy: DataFrame, fleet: DataFrame) -> DataFrame:
+    """Legacy vehicles whose name is no id of the fleet."""
+    return joins.anti_missing(legacy, "name", fleet, "vehicle_id")
+
+
 def vehicle_type_choice(vehicles: DataFrame, unknown: str = UNKNOWN) -> DataFrame:
     """Legacy type if there is one, else the mapped type.
 

@@ -18,10 +18,17 @@ CITIES = ["AMER", "EURO"]
 CUTOFF = dt.datetime(2024, 1, 20)
 SWEEP_DAY = dt.date(2024, 2, 19)
 
-RANK = " ".join(
-    f"WHEN vehicle_type = '{name}' THEN {place}" for place, name in enumerate(fixed.TYPE_RANKING, 1) if name
-)
-SETTINGS = ", ".join(f"({k}, CAST({share} AS DOUBLE))" for k, share in fixed.SWEEP_SETTINGS)
+# The fixed values are written out here, so that a change of the library's shows.
+RANK = """WHEN vehicle_type = 'AA002S' THEN 2 WHEN vehicle_type = 'AA002N' THEN 3 WHEN vehicle_type = 'AA004N' THEN 4
+    WHEN vehicle_type = 'WA002N' THEN 5 WHEN vehicle_type = 'SC002N' THEN 6 WHEN vehicle_type = 'SW002N' THEN 7
+    WHEN vehicle_type = 'SW004N' THEN 8 WHEN vehicle_type = 'SS001' THEN 9 WHEN vehicle_type = 'SS002' THEN 10
+    WHEN vehicle_type = 'SS004' THEN 11 WHEN vehicle_type = 'SS005' THEN 12 WHEN vehicle_type = 'SS012' THEN 13
+    WHEN vehicle_type = 'SC013' THEN 14 WHEN vehicle_type = 'SS014' THEN 15 WHEN vehicle_type = 'SC015' THEN 16
+    WHEN vehicle_type = 'SC113' THEN 17 WHEN vehicle_type = 'SC114' THEN 18 WHEN vehicle_type = 'DS004' THEN 19
+    WHEN vehicle_type = 'DS013' THEN 20 WHEN vehicle_type = 'DS014' THEN 21 WHEN vehicle_type = 'DS016' THEN 22"""
+SETTINGS = """(1, CAST(0.5 AS DOUBLE)), (7, CAST(0.25 AS DOUBLE)), (7, CAST(0.5 AS DOUBLE)), (7, CAST(0.75 AS DOUBLE)),
+    (14, CAST(0.25 AS DOUBLE)), (14, CAST(0.5 AS DOUBLE)), (14, CAST(0.75 AS DOUBLE)),
+    (28, CAST(0.25 AS DOUBLE)), (28, CAST(0.5 AS DOUBLE)), (28, CAST(0.75 AS DOUBLE))"""
 NUMBER = "CAST(trunc(try_cast(carid AS DOUBLE)) AS BIGINT)"
 
 
@@ -45,7 +52,10 @@ GROUPED = """CASE WHEN regexp_matches(unid, '^[A-Z]{4}-[0-9][AB][0-9]+$')
     THEN left(unid, 6) || '_' || substr(unid, 8) ELSE unid END"""
 
 # Struct-free ordering of parsed types for ORDER BY.
-STRETCHER = " ".join(f"WHEN '{code}' THEN {score}" for code, score in fixed.STRETCHER_SCORES.items())
+STRETCHER = """WHEN 'SS00' THEN 1 WHEN 'SC00' THEN 2 WHEN 'DS00' THEN 3 WHEN 'SW00' THEN 3.5
+    WHEN 'SS01' THEN 4 WHEN 'SC01' THEN 5 WHEN 'DS01' THEN 6 WHEN 'SW01' THEN 6.5
+    WHEN 'SS10' THEN 7 WHEN 'SC10' THEN 8 WHEN 'DS10' THEN 9 WHEN 'SW10' THEN 9.5
+    WHEN 'SS11' THEN 10 WHEN 'SC11' THEN 11 WHEN 'DS11' THEN 12 WHEN 'SW11' THEN 12.5"""
 PARSED = f"""
     CASE substr(code, 6, 1) WHEN 'S' THEN 1 WHEN 'N' THEN 2 WHEN '' THEN 3 WHEN 'H' THEN 4 WHEN 'A' THEN 5 ELSE 0 END
         AS class_score,

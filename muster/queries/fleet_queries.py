@@ -10,10 +10,11 @@ from muster.operators import contractors, filters, fleet, forms, joins, publish,
 from muster.plans import ambulance, contractor, suv
 from muster.queries.registry import AS_OF, query
 from muster.queries.views import SQL_VIEWS
-from muster.sources import tables
+from muster.sources import quality, tables
 
 SQL_VIEWS.update(
     {
+        "legacy_vehicles": "SELECT ehs_number, name, min(updated) AS updated FROM {legacy_export} GROUP BY 1, 2",
         "ambulance_logons": """
             SELECT h.unid, h.carid, h.cdts2, h.cdts FROM {unit_history} h
             WHERE regexp_full_match(carid, '[0-9]+') AND length(carid) <= 4
@@ -191,7 +192,8 @@ def _(t):
     "SELECT r.carid, r.n, o.updated FROM {routine} r LEFT JOIN {legacy_vehicles} o ON r.carid = o.ehs_number",
 )
 def _(t):
-    return joins.legacy_types(usage.routine_vehicles(group_usage(t)), t.legacy_vehicles).select("carid", "n", "updated")
+    legacy = quality.checked(t.legacy_export, "legacy_vehicles")
+    return joins.legacy_types(usage.routine_vehicles(group_usage(t)), legacy).select("carid", "n", "updated")
 
 
 @query("semi_in", "SELECT unid, carid, cdts2 FROM {unit_history} WHERE unid IN (SELECT unit_name FROM {direct_shifts})")
@@ -207,20 +209,21 @@ def _(t):
        UNION ALL SELECT carid, 'unused_vehicle' FROM {vehicle_history} v
          WHERE NOT EXISTS (SELECT 1 FROM {unit_history} h WHERE h.carid = v.carid)
        UNION ALL SELECT vehicle_id, 'new_vehicle' FROM {fleet_assets}
-         WHERE vehicle_id NOT IN (SELECT ehs_number FROM {legacy_vehicles})
+         WHERE vehicle_id NOT IN (SELECT name FROM {legacy_vehicles})
        UNION ALL SELECT ehs_number, 'lost_vehicle' FROM {legacy_vehicles}
-         WHERE ehs_number NOT IN (SELECT vehicle_id FROM {serving_fleet})""",
+         WHERE name NOT IN (SELECT vehicle_id FROM {serving_fleet})""",
 )
 def _(t):
-    def missing(df, column, keys, key, kind):
-        return joins.anti_missing(df, column, keys, key).select(F.col(column).alias("id"), F.lit(kind).alias("kind"))
+    def named(df, column, kind):
+        return df.select(F.col(column).alias("id"), F.lit(kind).alias("kind"))
 
+    legacy = quality.checked(t.legacy_export, "legacy_vehicles")
     serving = filters.in_service_fleet(t.fleet_assets)
     return joins.union_same(
-        missing(t.shift_inventory, "unit_name", t.unit_history, "unid", "silent_unit"),
-        missing(t.vehicle_history, "carid", t.unit_history, "carid", "unused_vehicle"),
-        missing(t.fleet_assets, "vehicle_id", t.legacy_vehicles, "ehs_number", "new_vehicle"),
-        missing(t.legacy_vehicles, "ehs_number", serving, "vehicle_id", "lost_vehicle"),
+        named(joins.anti_missing(t.shift_inventory, "unit_name", t.unit_history, "unid"), "unit_name", "silent_unit"),
+        named(joins.anti_missing(t.vehicle_history, "carid", t.unit_history, "carid"), "carid", "unused_vehicle"),
+        named(fleet.new_vehicles(t.fleet_assets, legacy), "vehicle_id", "new_vehicle"),
+        named(fleet.lost_vehicles(legacy, serving), "ehs_number", "lost_vehicle"),
     )
 
 
@@ -387,12 +390,12 @@ def _(t):
 
 @query("contractor_vehicles", "SELECT * FROM {contractor_list}")
 def _(t):
-    return contractor.vehicles(t.unit_history, t.shift_inventory, t.legacy_vehicles, as_of=AS_OF)
+    return contractor.vehicles(t.unit_history, t.shift_inventory, t.legacy_export, as_of=AS_OF)
 
 
 @query("contractor_table", "SELECT * FROM {contractor_list} ORDER BY service")
 def _(t):
-    listed = contractor.vehicles(t.unit_history, t.shift_inventory, t.legacy_vehicles, as_of=AS_OF)
+    listed = contractor.vehicles(t.unit_history, t.shift_inventory, t.legacy_export, as_of=AS_OF)
     return publish.ordered(listed, "service", "carid")
 
 
@@ -431,7 +434,7 @@ def _(t):
 
 def described(t):
     return ambulance.described(
-        t.unit_history, t.shift_inventory, t.fleet_assets, t.config_mapping, t.legacy_vehicles, as_of=AS_OF
+        t.unit_history, t.shift_inventory, t.fleet_assets, t.config_mapping, t.legacy_export, as_of=AS_OF
     )
 
 
@@ -463,7 +466,7 @@ def _(t):
 )
 def _(t):
     cars = ambulance.run(
-        t.unit_history, t.shift_inventory, t.fleet_assets, t.config_mapping, t.legacy_vehicles, t.checked_types,
+        t.unit_history, t.shift_inventory, t.fleet_assets, t.config_mapping, t.legacy_export, t.checked_types,
         as_of=AS_OF,
     )
     suvs = suv.run(t.unit_history, t.shift_inventory, t.fleet_assets, as_of=AS_OF, since=dt.date(2024, 1, 10))
@@ -504,7 +507,7 @@ def _form_sql(unit_class: str, fields: list[str], examples: str) -> str:
     ),
 )
 def _(t):
-    return contractor.run(t.unit_history, t.shift_inventory, t.legacy_vehicles, as_of=AS_OF)["ambulance_form"]
+    return contractor.run(t.unit_history, t.shift_inventory, t.legacy_export, as_of=AS_OF)["ambulance_form"]
 
 
 @query(
@@ -516,7 +519,7 @@ def _(t):
     ),
 )
 def _(t):
-    return contractor.run(t.unit_history, t.shift_inventory, t.legacy_vehicles, as_of=AS_OF)["transport_form"]
+    return contractor.run(t.unit_history, t.shift_inventory, t.legacy_export, as_of=AS_OF)["transport_form"]
 
 
 @query(
@@ -536,3 +539,17 @@ def _(t):
 def _(t):
     checked = forms.survey_check(t.survey_answers, forms.ambulance_rules())
     return checked.select("ehs_number", F.array_join("violations", ";").alias("violations"))
+
+
+@query(
+    "survey_check_transport",
+    """SELECT ehs_number, concat_ws(';',
+         CASE WHEN NOT regexp_full_match(max_stretchers, '|([0-9]|10)([.]0)?') THEN 'max_stretchers' END,
+         CASE WHEN NOT regexp_full_match(max_wheelchairs, '|([0-9]|10)([.]0)?') THEN 'max_wheelchairs' END,
+         CASE WHEN NOT regexp_full_match(max_ambulatory_patients, '|(1?[0-9]|20)([.]0)?') THEN 'max_ambulatory_patients' END,
+         CASE WHEN mixed_use NOT IN ('', 'Yes', 'No') THEN 'mixed_use' END) AS violations
+       FROM {transport_answers}""",
+)
+def _(t):
+    checked = forms.survey_check(t.transport_answers, forms.transport_rules())
+    return checked.select("ehs_number", F.array_join("violations", ";").alias("violations"))

@@ -124,10 +124,16 @@ VIEWS = {
                 ELSE 'SC113' END AS unit_type
         FROM {fleet_assets}
         WHERE substr(classification, 1, 3) = 'AMB' AND stock_level <> 'BLS'""",
-    "legacy_vehicles": f"""
-        SELECT {vehicle('s_suppkey')} AS ehs_number, s_name AS name,
+    # As exported: some vehicles stand in the list twice, some under an old name.
+    "legacy_export": f"""
+        SELECT {vehicle('s_suppkey')} AS ehs_number,
+            CASE WHEN s_suppkey % 6 = 0 THEN 'Old ' || s_name ELSE {vehicle('s_suppkey')} END AS name,
             CASE s_nationkey % 4 WHEN 1 THEN 'SC113' WHEN 3 THEN 'DS013' ELSE NULL END AS updated
-        FROM {{supplier}}""",
+        FROM {{supplier}}
+        UNION ALL
+        SELECT {vehicle('s_suppkey')}, CASE WHEN s_suppkey % 6 = 0 THEN 'Old ' || s_name ELSE {vehicle('s_suppkey')} END,
+            CASE s_nationkey % 3 WHEN 1 THEN 'SC114' ELSE NULL END
+        FROM {{supplier}} WHERE s_suppkey % 3 = 0""",
     "legacy_listing": f"""
         SELECT {vehicle('l_partkey')} AS ehs_number, 'Vehicle ' || CAST(l_partkey % 7 AS STRING) AS name,
             l_returnflag || l_linestatus AS updated, l_shipdate AS listed_at, l_orderkey AS list_no
@@ -166,6 +172,13 @@ VIEWS = {
             {by_slot('p_size', ['Yes', 'No', 'Maybe'])} AS bariatric_level_1_capable,
             {by_slot('p_size', ['Yes', '', 'No', 'no'])} AS fits_isolette
         FROM {{part}}""",
+    "transport_answers": f"""
+        SELECT {vehicle('p_partkey')} AS ehs_number,
+            {by_slot('p_size', ['0', '1', '10', '11', '', '2.0', 'one'])} AS max_stretchers,
+            {by_slot('p_size', ['3', '-1', '', '10.5'])} AS max_wheelchairs,
+            {by_slot('p_size', ['20', '21', '7', ''])} AS max_ambulatory_patients,
+            {by_slot('p_size', ['Yes', 'No', 'yes', '', 'Both'])} AS mixed_use
+        FROM {{part}}""",
 }
 
 
