@@ -58,7 +58,7 @@ def _round(state: DataFrame) -> DataFrame:
                        (F.col("_asks") & (F.col("turn") == F.col("_earliest"))).alias("final"))
 
 
-def default_vehicle(recent: DataFrame, expected: DataFrame, order: DataFrame, *, rounds_per_cut: int = 3,
+def default_vehicle(recent: DataFrame, expected: DataFrame, order: DataFrame, *, rounds_per_cut: int = 4,
                     watch: Callable[[int], None] | None = None) -> DataFrame:
     """Vehicles taken in turn: columns generic, default_vehicle.
 
@@ -163,18 +163,20 @@ def _serve_tangled(queue: DataFrame, free: DataFrame, size: int, watch: Callable
         taken = matched.groupBy("vehicle_type", "slice").agg(F.count("*").alias("taken"))
 
 
-def _serve(waiting: DataFrame, free: DataFrame, size: int, watch: Callable[[int], None] | None) -> DataFrame:
+def _serve(waiting: DataFrame, free: DataFrame, listed: DataFrame, size: int,
+           watch: Callable[[int], None] | None) -> DataFrame:
     """Units and the free vehicles they take in turn: generic, _free. Types whose vehicles
-    are all listed once are matched by number."""
-    queue = cut(number_rows(waiting, ["expected_type"], ["_first", "_unit"]).withColumnRenamed("expected_type", "vehicle_type"))
-    several = free.groupBy("vehicle").agg(F.count("*").alias("_types")).where("_types > 1")
-    tangled = cut(joins.semi_in(free, "vehicle", several, "vehicle").select("vehicle_type").distinct())
-    plain = free.join(tangled, "vehicle_type", "left_anti")
-    stock = number_rows(plain, ["vehicle_type"], ["vehicle"])
-    served = queue.join(stock, ["vehicle_type", "place"]).select("generic", F.col("vehicle").alias("_free"))
+    are all ``listed`` under one type are matched by number."""
+    queue = number_rows(waiting, ["expected_type"], ["_first", "_unit"]).withColumnRenamed("expected_type", "vehicle_type")
+    several = listed.groupBy("vehicle").agg(F.collect_set("vehicle_type").alias("_types")).where(F.size("_types") > 1)
+    tangled = cut(several.select(F.explode("_types").alias("vehicle_type")).distinct())
     if tangled.isEmpty():
-        return served
-    rest = free.join(tangled, "vehicle_type", "left_semi")
+        stock = number_rows(free, ["vehicle_type"], ["vehicle"])
+        return queue.join(stock, ["vehicle_type", "place"]).select("generic", F.col("vehicle").alias("_free"))
+    queue = cut(queue)
+    stock = number_rows(free.join(tangled, "vehicle_type", "left_anti"), ["vehicle_type"], ["vehicle"])
+    served = queue.join(stock, ["vehicle_type", "place"]).select("generic", F.col("vehicle").alias("_free"))
+    rest = cut(free.join(tangled, "vehicle_type", "left_semi"))
     return served.unionByName(_serve_tangled(queue, rest, size, watch))
 
 
@@ -196,7 +198,7 @@ def default_vehicle_fill(expected: DataFrame, first: DataFrame, order: DataFrame
     free = free.where("vehicle_type IS NOT NULL AND vehicle IS NOT NULL")
     # A type nobody waits for needs no numbers.
     free = joins.semi_in(free, "vehicle_type", waiting, "expected_type")
-    served = _serve(waiting, free, slice_size, watch)
+    served = _serve(waiting, free, types, slice_size, watch)
     usual = usage.most_used_vehicle(uses).select("generic", "most_used")
     filled = units.join(served, "generic", "left").join(usual, "generic", "left")
     none = F.col("expected_type").isNull()
