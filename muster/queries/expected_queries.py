@@ -476,8 +476,10 @@ def _(t):
     " GROUP BY 1, 2",
 )
 def _(t):
-    pairs = joins.shifts_history_outer(t.unit_history, t.shift_inventory).groupBy("carid", "cad_unit_type")
-    return pairs.agg(F.count("*").alias("n")).withColumn(
+    # Logons are counted before they meet the shifts; a unit without one is one row.
+    uses = joins.shifts_history_outer(usage.unit_uses(t.unit_history), t.shift_inventory)
+    pairs = uses.groupBy("carid", "cad_unit_type").agg(F.sum(F.coalesce("n", F.lit(1))).alias("n"))
+    return pairs.withColumn(
         "default_type", codes.default_type(F.col("carid"), F.col("cad_unit_type"))
     )
 

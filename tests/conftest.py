@@ -11,7 +11,8 @@ from muster.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("checkpoint"))
-    session = local_session("4", "tests", shuffle_partitions=4, settings={"spark.checkpoint.dir": folder})
+    session = local_session("4", "tests", shuffle_partitions=4, settings={
+        "spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -267,3 +267,45 @@ def test_update_is_written_once(spark, table, tmp_path, monkeypatch):
     assert production.update(wanted, after).count() == 0
     with pytest.raises(Exception, match="already exists"):
         production.write_update(wanted, stored, version)
+
+
+def test_fleet_is_compared_by_legacy_name(table):
+    legacy = table("ehs_number string, name string, updated string", ("1", "1", None), ("2", "Old 2", None), ("3", None, None))
+    assets = table("vehicle_id string, year int", ("1", 2000), ("2", 2001), ("9", 2002))
+    assert rows(fleet.new_vehicles(assets, legacy), "vehicle_id") == [("2",), ("9",)]
+    assert rows(fleet.lost_vehicles(legacy, assets), "ehs_number") == [("2",), ("3",)]
+
+
+def test_split_join_deals_out_a_large_key(spark, table):
+    large = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        F.lit("x").alias("j"), F.col("id").alias("v"))
+    small = table("k string, j string, w int", ("big", "x", 1), ("k1", "x", 2), ("k2", "x", 3), ("k2", "x", 4), ("k3", "y", 5))
+    for how in ("inner", "left"):
+        plain = large.join(small, ["k", "j"], how)
+        assert rows(joins.split_join(large, small, ["k", "j"], how), "v", "w") == rows(plain, "v", "w")
+    limit, before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.shuffle.partitions")
+    # as on a cluster: more tasks than large keys, and partitions left as they are
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64",
+                "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = joins.split_join(large, small, ["k", "j"], "left")
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        # an even share is 30,000 / 64; a hash puts a few pieces together
+        assert sizes[-1] < 30_000 / 64 * 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_shares_without_a_window_over_all_rows(table):
+    counts = table("dgroup string, carid string, n bigint", *[("G", str(i), i % 9 + 1) for i in range(100)])
+    ecdf = usage.usage_ecdf(counts)
+    got = rows(ecdf, "n", "pairs", "share")
+    assert got[-1][2] == 1.0 and [r[1] for r in got] == [12, 11, 11, 11, 11, 11, 11, 11, 11]
+    assert [r[2] for r in got][:2] == [0.12, 0.23]
+    windows = [line for line in ecdf._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in line]
+    assert len(windows) == 1 and "_stretch" in windows[0]

@@ -5,11 +5,11 @@ import io
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import rows
+from muster.operators import expected
 from muster.plans import ambulance, production
-from muster.sources import quality, tables, workbook
+from muster.sources import bucketed, quality, tables, workbook
 from muster.sources.versions import StaleVersion, Versions
 
 LEGACY = "EHS.NUMBER,NAME,UPDATED\n"
@@ -174,3 +174,27 @@ def test_the_rename_decides_when_both_are_about_to_commit(spark, table, tmp_path
     with pytest.raises(StaleVersion, match="another writer"):
         other.commit(table(STORED, ("g1", "LUT_u1", "UT_C")), 1)
     assert store.numbers() == [1, 2] and rows(other.current().rows) == [("g1", "LUT_u1", "UT_B")]
+
+
+def test_bucketed_history_needs_no_exchange(spark, table):
+    times = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=i) for i in range(200)]
+    code = lambda t: t.strftime("%Y%m%d%H%M%S")
+    history = table("unid string, carid string, cdts2 timestamp_ntz, cdts string",
+                    *[(f"U{i % 3}", str(i % 7) if i % 11 else None, t, code(t)) for i, t in enumerate(times)])
+    workload = table("unid string, cdts string, unit_status string, time_active bigint",
+                     *[(f"U{i % 3}", code(t), "LO" if i % 5 else "OFF", 20_000) for i, t in enumerate(times)])
+    bucketed.store(history, "stored_history", buckets=4)
+    bucketed.store(workload, "stored_workload", buckets=4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = bucketed.read_history(spark, "stored_history", "stored_workload", newest=20)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+        assert rows(got) == rows(expected.read_history(history, workload, newest=20), *got.columns)
+        assert got.count() == 60
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.unset(bucketed.SETTING)
+        spark.sql("DROP TABLE stored_history")
+        spark.sql("DROP TABLE stored_workload")
