@@ -39,7 +39,7 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.digests(repeats.removed(table(spark, folder, "documents")))
+    return repeats.digests(table(spark, folder, "documents"))
 
 
 def op7_quotations(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,6 +18,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ REACH = MIN - GRAM  # bytes a window can begin before its anchor
 SLAB = 1 << 17  # window starts worked on at once
 CHUNK = 15_000  # contexts whose suffixes are sorted at once
 HOT = 200_000  # contexts of one anchor from which on windows are met one by one
+AGAIN = 1 << 14  # places of a run in one row
 
 
 FACTOR = 0x9E3779B97F4A7C15
@@ -122,16 +124,35 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return who, at, h, c
 
 
-def _packed(who: np.ndarray, at: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Place, and how far before it the windows begin that may have this anchor: those
-    which do not reach a neighbouring anchor of a smaller hash. Six bits each."""
+def _packed(who: np.ndarray, at: np.ndarray, h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, number) per run of anchors: the number holds the place, how often it comes again
+    and after how many bytes, and how far before it the windows begin that may have this
+    anchor: those which do not reach a neighbouring anchor of a smaller hash.
+
+    A text of a short period has anchors of one hash and one context at equal steps; they
+    are one row, as what is found for one holds for all."""
     most, least = np.full(len(at), REACH), np.zeros(len(at), np.int64)
-    near = (who[1:] == who[:-1]) & (at[1:] - at[:-1] <= REACH)
+    gap, one = at[1:] - at[:-1], who[1:] == who[:-1]
+    near = one & (gap <= REACH)
     back = near & (h[:-1] < h[1:])
-    most[1:][back] = (at[1:] - at[:-1] - 1)[back]
+    most[1:][back] = (gap - 1)[back]
     ahead = near & (h[1:] < h[:-1])
-    least[:-1][ahead] = (REACH + 1 - (at[1:] - at[:-1]))[ahead]
-    return (at.astype(np.int64) << 12) | (most << 6) | least
+    least[:-1][ahead] = (REACH + 1 - gap)[ahead]
+    alike = near & (h[1:] == h[:-1]) & (c[1:] == c[:-1]) & (most[1:] == most[:-1]) & (least[1:] == least[:-1])
+    new = np.ones(len(at), bool)
+    new[1:] = ~alike
+    new[2:] |= alike[:-1] & (gap[1:] != gap[:-1])
+    place = np.arange(len(at))
+    inside = place - np.maximum.accumulate(np.where(new, place, 0))
+    head = np.flatnonzero(inside % AGAIN == 0)
+    again = np.diff([*head, len(at)]) - 1
+    step = np.where(again > 0, np.append(gap, 0)[head], 0)
+    return head, at[head] << 32 | again << 18 | step << 12 | most[head] << 6 | least[head]
+
+
+def _more(packed: np.ndarray) -> np.ndarray:
+    """Bytes from the first to the last place of a run."""
+    return (packed >> 18 & (AGAIN - 1)) * (packed >> 12 & 63)
 
 
 def repeat_groups(suffixes: np.ndarray, ends: np.ndarray, before: np.ndarray, least: int = MIN):
@@ -248,10 +269,12 @@ def _shared_anchors(texts: DataFrame) -> DataFrame:
 
     def make():
         def work(batch):
-            texts = [t.encode() for t in batch.column(2).to_pylist()]
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
             who, at, h, c = anchors(texts)
             whole = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64)
-            at = np.concatenate([_packed(who, at, h), np.full(len(texts), -1)])
+            head, at = _packed(who, at, h, c)
+            who, h, c = who[head], h[head], c[head]
+            at = np.concatenate([at, np.full(len(texts), -1)])
             who = pa.array(np.concatenate([who, np.arange(len(texts))]))
             return {"doc": batch.column(0).take(who), "tag": batch.column(1).take(who), "at": at,
                     "h": np.concatenate([h, whole]).view(np.int64),
@@ -331,31 +354,31 @@ def _shared_anchors(texts: DataFrame) -> DataFrame:
     return cut(found.groupBy("doc", "tag", "kind", "hot").agg(F.collect_list("at").alias("places")))
 
 
-def _contexts(texts: DataFrame, places: DataFrame) -> DataFrame:
+def _contexts(bodies: DataFrame, places: DataFrame) -> DataFrame:
     """(doc, tag, at, before, after, hot): the bytes before and from each shared anchor."""
 
     def make():
         def work(batch):
             out = {name: [] for name in ("doc", "tag", "at", "before", "after", "hot")}
-            for doc, tag, text, found, hot in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                data = text.encode()
+            for doc, tag, body, found, hot in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                data = _opened(body)
                 out["doc"] += [doc] * len(found)
                 out["tag"] += [tag] * len(found)
                 out["hot"] += [hot] * len(found)
                 out["at"] += found
-                out["before"] += [data[max(0, (p >> 12) - REACH) : p >> 12] for p in found]
-                out["after"] += [data[p >> 12 : (p >> 12) + MIN] for p in found]
+                out["before"] += [data[max(0, (p >> 32) - REACH) : p >> 32] for p in found]
+                out["after"] += [data[p >> 32 : (p >> 32) + MIN] for p in found]
             return out
 
         return work
 
-    met = texts.join(places, ["doc", "tag"]).select("doc", "tag", "text", "places", "hot")
+    met = bodies.join(places, KEYS).select("doc", "tag", "body", "places", "hot")
     return map_batches(met, "doc long, tag int, at long, before binary, after binary, hot boolean", make)
 
 
 def _spans(contexts: DataFrame) -> DataFrame:
     """(doc, tag, span) of what a smaller document has, anchor by anchor. A span is
-    its start, shifted by eight bits, and its length, which a context bounds."""
+    its start, shifted by 32 bits, and its length."""
     types = "doc long, tag int, span long"
 
     def run(batches):
@@ -364,7 +387,7 @@ def _spans(contexts: DataFrame) -> DataFrame:
         def work(table: pa.Table) -> pa.RecordBatch:
             doc = table.column("doc").to_numpy()
             packed = table.column("at").to_numpy()
-            at = packed >> 12
+            at = packed >> 32
             after = table.column("after").to_pylist()
             grams = np.array([x[:GRAM] for x in after], f"V{GRAM}")
             group = np.cumsum(np.concatenate([[0], grams[1:] != grams[:-1]]))
@@ -372,7 +395,7 @@ def _spans(contexts: DataFrame) -> DataFrame:
             row, a, b = (np.concatenate([p[i] for p in parts]) for i in range(3))
             tag = table.column("tag").to_numpy()
             return pa.RecordBatch.from_pydict({
-                "doc": doc[row], "tag": tag[row], "span": (at[row] + a) << 8 | (b - a),
+                "doc": doc[row], "tag": tag[row], "span": (at[row] + a) << 32 | (b - a + _more(packed[row])),
             })
 
         for batch in batches:
@@ -398,23 +421,83 @@ def _spans(contexts: DataFrame) -> DataFrame:
     # an anchor with very many contexts: its windows are suffixes of MIN bytes, so an
     # interval is a set of equal windows, whose smallest document is found by map-side combining
     whole = F.concat("before", "after")
-    at = F.shiftright("at", 12).cast("int") - F.length("before")
+    at = F.shiftright("at", 32).cast("int") - F.length("before")
+    more = (F.shiftright("at", 18).bitwiseAND(F.lit(AGAIN - 1)) * F.shiftright("at", 12).bitwiseAND(F.lit(63))).alias("more")
     windows = contexts.where("hot").select(
-        "doc", "tag", F.explode(F.transform(
+        "doc", "tag", more, F.explode(F.transform(
             F.sequence(F.lit(0), F.length(whole) - MIN),
             lambda o: F.struct((at + o).alias("start"), whole.substr(o + 1, F.lit(MIN)).alias("w")),
-        )).alias("x")).select("doc", "tag", "x.start", "x.w")
+        )).alias("x")).select("doc", "tag", "more", "x.start", "x.w")
     first = windows.groupBy("w").agg(F.min("doc").alias("first"))
     rest = windows.join(first, "w").where("doc > first")
-    rest = rest.select("doc", "tag", (F.shiftleft(F.col("start").cast("long"), 8) + MIN).alias("span"))
+    rest = rest.select("doc", "tag", (F.shiftleft(F.col("start").cast("long"), 32) + MIN + F.col("more")).alias("span"))
     return usual.union(rest)
 
 
+KEYS = ["doc", "tag", "none"]
+
+
+def _opened(body: bytes) -> bytes:
+    return zstandard.decompress(body)
+
+
+def _bodies(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, none, tag, body): the text compressed, as it crosses the shuffle. The key columns
+    are never null, so both joins with it ask for the very same shuffle, which is made once."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("doc"), F.col(key).isNull().alias("none"),
+                       F.hash(whole).alias("tag"), whole.alias("text"))
+
+    def make():
+        pack = zstandard.ZstdCompressor(level=3)
+
+        def work(batch):
+            texts = batch.column(3).cast(pa.binary()).to_pylist()
+            return {"doc": batch.column(0), "none": batch.column(1), "tag": batch.column(2), "body": [pack.compress(t) for t in texts]}
+
+        return work
+
+    return map_batches(rows, "doc long not null, none boolean not null, tag int not null, body binary not null", make)
+
+
+def _found(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, body, spans) of every row."""
+    kind = docs.schema[key].dataType.simpleString()
+    bodies = _bodies(docs, key, text)
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = rows.where("doc is not null").where(F.octet_length("text") >= MIN).select("doc", F.hash("text").alias("tag"), "text")
+    places = _shared_anchors(texts).withColumn("none", F.lit(False))
+    release(docs)
+    spans = _spans(_contexts(bodies, places.where(F.col("kind") == OPEN)))
+    spans = spans.select("doc", "tag", F.array("span").alias("spans"))
+
+    def seen(place):
+        run = F.shiftright(place, 18).bitwiseAND(F.lit(AGAIN - 1)) * F.shiftright(place, 12).bitwiseAND(F.lit(63))
+        start = F.greatest(F.shiftright(place, 32) - REACH, F.lit(0))
+        return F.shiftleft(start, 32) + (F.shiftright(place, 32) + MIN + run - start)
+
+    whole = F.array(F.lit(-1).cast("long"))
+    more = places.where(F.col("kind") != OPEN).select(
+        "doc", "tag", F.when(F.col("kind") == COPY, whole).otherwise(F.transform("places", seen)).alias("spans"))
+    known = spans.union(more).groupBy("doc", "tag", F.lit(False).alias("none")).agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    met = bodies.join(known, KEYS, "left")
+    owner = F.when(F.col("none"), F.lit(None)).otherwise(F.col("doc")).cast(kind)
+    return met.select(owner.alias(key), "body", F.coalesce("spans", F.array().cast("array<bigint>")).alias("spans"))
+
+
+def _unpacked(spans: pa.Array, i: int, size: int) -> list[tuple[int, int]]:
+    found = spans[i].values.to_numpy()
+    whole = found < 0
+    start = np.where(whole, 0, found >> 32)
+    end = np.where(whole, size, np.minimum(start + (found & 0xFFFFFFFF), size))
+    return list(zip(start.tolist(), end.tolist()))
+
+
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, text, spans): per row the byte spans that a document of a smaller key has.
 
     Every byte under a window of ``MIN`` bytes that also starts in a document with a
-    smaller key is in a span; spans may overlap, and are judged on the input.
+    smaller key is in a span, (start, end) in order and apart; they are judged on the input.
     Equal texts, told by 96 bits of two hashes, are worked on once, in the row of the
     smallest key, so thousands of copies cost one; the other rows go whole. Equal
     contexts of an anchor are told by 128 bits of two hashes. A null text is an empty one. Rows of
@@ -422,55 +505,35 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     with a null key neither takes nor loses. An empty table gives no rows; other
     columns are left out.
 
-    Texts are joined by key to what is known of them, never grouped; hashes of
-    shared anchors and their contexts are dealt by content.
+    Texts are never grouped. They cross one shuffle, compressed, and meet there first
+    the places of shared anchors, then the spans found. Hashes of anchors and the
+    contexts of shared ones are dealt by content.
     """
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("tag", F.hash("text"))
-    texts = rows.where("doc is not null").where(F.octet_length("text") >= MIN).select("doc", "tag", "text")
-    places = _shared_anchors(texts)
-    release(docs)
-    spans = _spans(_contexts(texts, places.where(F.col("kind") == OPEN)))
-    spans = spans.select("doc", "tag", F.array("span").alias("spans"))
 
-    def seen(place):
-        start = F.greatest(F.shiftright(place, 12) - REACH, F.lit(0))
-        return F.shiftleft(start, 8) + (F.shiftright(place, 12) + MIN - start)
-
-    whole = F.array(F.lit(-1).cast("long"))
-    more = places.where(F.col("kind") != OPEN).select(
-        "doc", "tag", F.when(F.col("kind") == COPY, whole).otherwise(F.transform("places", seen)).alias("spans"))
-    known = spans.union(more).groupBy("doc", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    known = cut(known)
-    release(docs)
-    size = F.octet_length("text")
+    def make():
+        def work(batch):
+            texts = [_opened(body) for body in batch.column(1).to_pylist()]
+            spans = [[{"start": a, "end": b} for a, b in merge(_unpacked(batch.column(2), i, len(t)))] for i, t in enumerate(texts)]
+            return {"key": batch.column(0), "text": [t.decode() for t in texts], "spans": spans}
 
-    def unpacked(span):
-        start = F.when(span < 0, 0).otherwise(F.shiftright(span, 8)).cast("int")
-        end = F.when(span < 0, size).otherwise(F.least(start + span.bitwiseAND(F.lit(255)).cast("int"), size))
-        return F.struct(start.alias("start"), end.alias("end"))
+        return work
 
-    inside = F.transform("spans", unpacked)
-    met = rows.join(known, ["doc", "tag"], "left")
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    return met.select(F.col("doc").cast(kind).alias(key), "text", F.coalesce(inside, none).alias("spans"))
+    found = map_batches(_found(docs, key, text), f"key {kind}, text string, spans array<struct<start: int, end: int>>", make)
+    return found.withColumnRenamed("key", key)
 
 
-def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Counts of the removed bytes and spans and the digest of the bytes that stay."""
-    kind = found.schema[key].dataType.simpleString()
+def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_bytes, n_removed, n_spans, kept_sha256): counts of the bytes and spans ``removed``
+    finds, and the digest of the bytes that stay. Odd rows as there."""
+    kind = docs.schema[key].dataType.simpleString()
 
     def make():
         def work(batch):
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-            spans, flat = batch.column(2), batch.column(2).flatten()
-            starts, ends = flat.field("start").to_numpy(), flat.field("end").to_numpy()
-            edges = spans.offsets.to_numpy() - spans.offsets[0].as_py()
-            for i in range(batch.num_rows):
-                data = batch.column(1)[i].as_py().encode()
-                mine = slice(edges[i], edges[i + 1])
-                merged = merge(list(zip(starts[mine].tolist(), ends[mine].tolist())))
+            for i, body in enumerate(batch.column(1).to_pylist()):
+                data = _opened(body)
+                merged = merge(_unpacked(batch.column(2), i, len(data)))
                 kept, at = hashlib.sha256(), 0
                 for a, b in [*merged, (len(data), len(data))]:
                     kept.update(data[at:a])
@@ -483,6 +546,5 @@ def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
 
         return work
 
-    rows = found.select(F.col(key).alias("key"), "text", "spans")
     schema = f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return map_batches(rows, schema, make).withColumnRenamed("key", key)
+    return map_batches(_found(docs, key, text), schema, make).withColumnRenamed("key", key)

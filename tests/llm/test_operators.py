@@ -235,9 +235,35 @@ def brute_removed(rows):
 def test_repeats(docs, rows, none, monkeypatch, hot, chunk, slab):
     for name, value in (("HOT", hot), ("CHUNK", chunk), ("SLAB", slab)):
         monkeypatch.setattr(repeats, name, value)
-    got = by_id(repeats.digests(repeats.removed(docs)))
+    got = by_id(repeats.digests(docs))
     assert {d: tuple(r)[1:] for d, r in got.items()} == brute_removed(rows)
-    assert repeats.digests(repeats.removed(none)).count() == 0
+    assert repeats.digests(none).count() == 0
+
+
+def test_repeats_of_short_periods(spark):
+    """Texts whose anchors come again at equal steps, alone, shared in part and whole."""
+    rng = random.Random(9)
+    base = ["a" * 700, "ab" * 400, "abc" * 300, "x" * 40 + "ab" * 200 + "y" * 90, "".join(rng.choice("pq") for _ in range(300)) * 3,
+            "lorem ipsum dolor sit amet consectetur " * 40]
+    texts = base + [t[7:-9] for t in base] + ["z" + t + "z" for t in base] + ["a" * 49, "a" * 50, "a" * 51, "b" * 60 + "a" * 60]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {d: tuple(r)[1:] for d, r in by_id(repeats.digests(docs)).items()} == brute_removed(rows)
+    spans = by_id(repeats.removed(docs))
+    assert all(spans[d].text == t for d, t in rows)
+
+
+def test_anchors_of_one_letter_are_few_rows():
+    who, at, h, c = repeats.anchors([b"a" * 1_000_000])
+    head, packed = repeats._packed(who, at, h, c)
+    assert len(head) < 200 and int(repeats._more(packed).max()) > 10_000
+
+
+def test_texts_cross_one_shuffle(docs):
+    plan = repeats._found(docs, "doc_id", "text")._jdf.queryExecution()
+    plan.toRdd().count()
+    final = plan.executedPlan().toString()
+    assert "ReusedExchange" in final
 
 
 def test_repeat_groups_are_the_maximal_repeats():
