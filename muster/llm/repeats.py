@@ -187,6 +187,22 @@ def repeat_groups(suffixes: np.ndarray, ends: np.ndarray, before: np.ndarray, le
                 stack.append((length, start))
 
 
+def _window_hashes(text: np.ndarray) -> np.ndarray:
+    """Hashes of the ``MIN`` bytes from each of the first places of every row."""
+    h, step, factor, powers = text.astype(np.uint64) + np.uint64(1), 1, FACTOR, {}
+    total, at = np.zeros((len(text), REACH + 1), np.uint64), 0
+    while step <= MIN:
+        powers[step] = (h, factor)
+        h = h[:, :-step] * np.uint64(factor) + h[:, step:]
+        factor, step = factor * factor % (1 << 64), step * 2
+    for step in sorted(powers, reverse=True):
+        if MIN & step:
+            h, factor = powers[step]
+            total = total * np.uint64(factor) + h[:, at : at + REACH + 1]
+            at += step
+    return _mixed(total)
+
+
 def _first_seen(group: np.ndarray, doc: np.ndarray, most: np.ndarray, least: np.ndarray,
                 left: list[bytes], right: list[bytes]):
     """(row, from, to) in bytes relative to the anchor: what stands in a smaller
@@ -214,17 +230,22 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, most: np.ndarray, least: np.
     own = own[many]
     low = REACH - np.minimum(ll, most)
     high = np.minimum(REACH + rl - MIN, REACH - least)
-    starts = [(own[(low[own] <= o) & (o <= high[own])], o) for o in range(REACH + 1)]
-    row = np.concatenate([r for r, _ in starts])
+    inside = [np.flatnonzero((low[own] <= o) & (o <= high[own])) for o in range(REACH + 1)]
+    row = np.concatenate(inside)
+    if not len(row):
+        return
+    offset = np.repeat(np.arange(REACH + 1), [len(r) for r in inside])
+    # A window that occurs once is in no repeat: by its hash, so those of equal windows all stay.
+    _, kind, times = np.unique(_window_hashes(text[own, :width])[row, offset], return_inverse=True, return_counts=True)
+    again = times[kind] > 1
+    row, offset = own[row[again]], offset[again]
     if not len(row):
         return
-    offset = np.concatenate([np.full(len(r), o) for r, o in starts])
     suffix = np.zeros((len(row), 4 + width), np.uint8)
     suffix[:, :4] = text[row, width + 2 :]
-    at = 0
-    for r, o in starts:
-        suffix[at : at + len(r), 4 : 4 + width - o] = text[r, o:width]
-        at += len(r)
+    edges = np.searchsorted(offset, np.arange(REACH + 2))
+    for o, (a, b) in enumerate(zip(edges, edges[1:])):
+        suffix[a:b, 4 : 4 + width - o] = text[row[a:b], o:width]
     ends = 4 + REACH + rl[row] - offset
     array = np.argsort(suffix.view(f"S{4 + width}")[:, 0], kind="stable")  # the suffix array
     row, offset, suffix, ends = row[array], offset[array], suffix[array], ends[array]
@@ -241,17 +262,6 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, most: np.ndarray, least: np.
         yield row[gone], offset[gone] - REACH, offset[gone] - REACH + size
 
 
-def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping and touching spans as one."""
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [tuple(s) for s in out]
-
-
 OPEN, SEEN, COPY = 0, 1, 2  # what is known of a place: to be compared, context stands earlier, text is a copy
 
 
@@ -485,12 +495,21 @@ def _found(docs: DataFrame, key: str, text: str) -> DataFrame:
     return met.select(owner.alias(key), "body", F.coalesce("spans", F.array().cast("array<bigint>")).alias("spans"))
 
 
-def _unpacked(spans: pa.Array, i: int, size: int) -> list[tuple[int, int]]:
-    found = spans[i].values.to_numpy()
-    whole = found < 0
-    start = np.where(whole, 0, found >> 32)
-    end = np.where(whole, size, np.minimum(start + (found & 0xFFFFFFFF), size))
-    return list(zip(start.tolist(), end.tolist()))
+def _merged(spans: pa.ListArray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of what is to go, in order and apart, and where each row's begin among them."""
+    edges = spans.offsets.to_numpy()
+    found = spans.values.to_numpy()[edges[0] : edges[-1]]
+    owner = np.repeat(np.arange(len(spans)), np.diff(edges))
+    start = np.where(found < 0, 0, found >> 32)
+    end = np.where(found < 0, sizes[owner], np.minimum(start + (found & 0xFFFFFFFF), sizes[owner]))
+    order = np.lexsort((start, owner))
+    owner, start, end = owner[order], start[order], end[order]
+    reach = np.maximum.accumulate(owner << 32 | end)  # a later row's is beyond all of an earlier one
+    new = np.ones(len(start), bool)
+    new[1:] = (owner[1:] << 32 | start[1:]) > reach[:-1]
+    heads = np.flatnonzero(new)
+    last = np.append(heads[1:], len(start)) - 1
+    return start[heads], reach[last] & 0xFFFFFFFF, np.searchsorted(owner[heads], np.arange(len(spans) + 1))
 
 
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -514,7 +533,9 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     def make():
         def work(batch):
             texts = [_opened(body) for body in batch.column(1).to_pylist()]
-            spans = [[{"start": a, "end": b} for a, b in merge(_unpacked(batch.column(2), i, len(t)))] for i, t in enumerate(texts)]
+            start, end, edges = _merged(batch.column(2), np.array([len(t) for t in texts]))
+            spans = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=["start", "end"])
+            spans = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), spans)
             return {"key": batch.column(0), "text": [t.decode() for t in texts], "spans": spans}
 
         return work
@@ -530,19 +551,20 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     def make():
         def work(batch):
-            out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-            for i, body in enumerate(batch.column(1).to_pylist()):
-                data = _opened(body)
-                merged = merge(_unpacked(batch.column(2), i, len(data)))
-                kept, at = hashlib.sha256(), 0
-                for a, b in [*merged, (len(data), len(data))]:
+            texts = [_opened(body) for body in batch.column(1).to_pylist()]
+            sizes = np.array([len(t) for t in texts])
+            start, end, edges = _merged(batch.column(2), sizes)
+            gone = np.append(0, np.cumsum(end - start))[edges]
+            starts, ends, digests_ = start.tolist(), end.tolist(), []
+            for text, low, high in zip(texts, edges.tolist(), edges[1:].tolist()):
+                kept, at, data = hashlib.sha256(), 0, memoryview(text)
+                for a, b in zip(starts[low:high], ends[low:high]):
                     kept.update(data[at:a])
                     at = b
-                out["n_bytes"].append(len(data))
-                out["n_removed"].append(sum(b - a for a, b in merged))
-                out["n_spans"].append(len(merged))
-                out["kept_sha256"].append(kept.hexdigest())
-            return {"key": batch.column(0)} | out
+                kept.update(data[at:])
+                digests_.append(kept.hexdigest())
+            return {"key": batch.column(0), "n_bytes": sizes, "n_removed": np.diff(gone), "n_spans": np.diff(edges),
+                    "kept_sha256": digests_}
 
         return work
 
