@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 
@@ -48,6 +49,7 @@ _PAD = re.compile(r"={0,2}")
 _FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"sk-ssh-ed25519@openssh.com": 3,
            b"sk-ecdsa-sha2-nistp256@openssh.com": 4}
 _CONTAINER = b"openssh-key-v1\x00"
+PARTS = 32  # values or fields on one level of a key, at most
 
 
 def _decoded(text: str) -> bytes | None:
@@ -61,11 +63,12 @@ def _decoded(text: str) -> bytes | None:
         return None
 
 
-def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
-    """(tag, start, end) of the values that fill ``data[start:end]`` exactly, else None."""
+def der_items(data: bytes | _View, start: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, start, end) of the values that fill ``data[start:end]`` exactly, else None. No
+    key has more than ``PARTS`` values at one level; a longer list is none, and is not read on."""
     items = []
     while start < end:
-        if start + 2 > end:
+        if start + 2 > end or len(items) == PARTS:
             return None
         tag, length, at = data[start], data[start + 1], start + 2
         if length >= 0x80:
@@ -80,7 +83,7 @@ def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
     return items
 
 
-def is_key_der(data: bytes) -> bool:
+def is_key_der(data: bytes | _View) -> bool:
     """A DER sequence that holds a key: numbers only (RSA, DSA), a version with
     an algorithm or an octet string (PKCS 8, EC), an algorithm with a bit string, or
     one with parameters and an octet string (encrypted PKCS 8; a digest has none)."""
@@ -104,39 +107,52 @@ def is_key_der(data: bytes) -> bool:
     return tags == [0x30, 0x03] and names == [0x06]
 
 
-def _fields(data: bytes, at: int, count: int | None = None) -> tuple[list[bytes], int] | None:
-    """Fields of a four-byte length each from ``at``, to the end or as many as
-    ``count``, and where they end; None if one does not fit."""
+def _fields(data: bytes | _View, at: int, count: int | None = None) -> tuple[list[tuple[int, int]], int] | None:
+    """Fields of a four-byte length each from ``at``, as (start, end), to the end or as many as
+    ``count``, and where they end; None if one does not fit, or if there are more than any key has."""
     fields = []
     while at < len(data) if count is None else len(fields) < count:
         length = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + length > len(data):
+        if at + 4 + length > len(data) or count is None and len(fields) == PARTS:
             return None
-        fields.append(data[at + 4 : at + 4 + length])
+        fields.append((at + 4, at + 4 + length))
         at += 4 + length
     return fields, at
 
 
-def container_end(data: bytes) -> int | None:
+def container_end(data: bytes | _View) -> int | None:
     """Where the private container ends: cipher, kdf and its options, the count of
     keys, a public blob each and one private part; None if it is none."""
-    start = _fields(data, len(_CONTAINER), 3) if data.startswith(_CONTAINER) else None
-    if not start or not start[0][0] or not start[0][1]:
+    start = _fields(data, len(_CONTAINER), 3) if data[: len(_CONTAINER)] == _CONTAINER else None
+    if not start or any(a == b for a, b in start[0][:2]):
         return None
     keys = int.from_bytes(data[start[1] : start[1] + 4], "big")
-    if not 1 <= keys <= len(data) // 4:
+    if not 1 <= keys <= PARTS:
         return None
     rest = _fields(data, start[1] + 4, keys + 1)
-    return rest[1] if rest and rest[0][-1] and all(map(is_ssh_blob, rest[0][:-1])) else None
+    if not rest or rest[0][-1][0] == rest[0][-1][1]:
+        return None
+    return rest[1] if all(is_ssh_blob(data[a:b]) for a, b in rest[0][:-1]) else None
+
+
+def _key_kind(data: bytes | _View) -> bytes | None:
+    """The first field, if it names a kind of key."""
+    first = _fields(data, 0, 1)
+    if not first or not 4 < first[1] <= 68:
+        return None
+    name = data[4 : first[1]]
+    return name if re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", name) else None
 
 
-def is_ssh_blob(data: bytes) -> bool:
+def is_ssh_blob(data: bytes | _View) -> bool:
     """Fields of a four-byte length each that fill the blob, the first a key kind;
     or the private container, its fields read to the end."""
-    if data.startswith(_CONTAINER):
+    if data[: len(_CONTAINER)] == _CONTAINER:
         return container_end(data) == len(data)
+    if not _key_kind(data):
+        return False
     found = _fields(data, 0)
-    return bool(found) and len(found[0]) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", found[0][0]) is not None
+    return bool(found) and len(found[0]) >= 2
 
 
 def is_token(text: str) -> bool:
@@ -149,70 +165,105 @@ def is_token(text: str) -> bool:
     return isinstance(header, dict) and isinstance(header.get("alg"), str) and isinstance(claims, dict)
 
 
-def _kind_of(data: bytes | None) -> str | None:
-    if not data or len(data) < 16:
+def _kind_of(data: bytes | _View | None) -> str | None:
+    if data is None or len(data) < 16:
         return None
     return "der" if is_key_der(data) else "ssh" if is_ssh_blob(data) else None
 
 
-def _length(data: bytes) -> int | None:
+def _length(data: bytes | _View) -> int | None:
     """Bytes of the encoding that ``data`` begins with, by its own lengths."""
     if data[:1] == b"\x30" and len(data) > 1:
         n = data[1] & 0x7F if data[1] & 0x80 else 0
         return 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1]) if n <= 4 else None
-    if data.startswith(_CONTAINER):
+    if data[: len(_CONTAINER)] == _CONTAINER:
         return container_end(data)
-    first = _fields(data, 0, 1)
-    if not first:
+    kind = _key_kind(data)
+    if not kind:
         return None
-    found = _fields(data, 0, _FIELDS.get(first[0][0], 3 if first[0][0].startswith(b"ecdsa-") else None))
+    found = _fields(data, 0, _FIELDS.get(kind, 3 if kind.startswith(b"ecdsa-") else None))
     return found[1] if found else None
 
 
+class _View:
+    """Bytes encoded in ``plain`` from a place on, decoded where they are looked at only."""
+
+    def __init__(self, plain: str, place: int, hexes: bool, size: int | None = None):
+        self._plain, self._place, self._hexes = plain, place, hexes
+        left = len(plain) - place
+        self._size = (left // 2 if hexes else left * 3 // 4) if size is None else size
+
+    def __len__(self) -> int:
+        return self._size
+
+    def first(self, size: int) -> _View:
+        return _View(self._plain, self._place, self._hexes, size)
+
+    def __getitem__(self, at: int | slice) -> int | bytes:
+        if isinstance(at, int):
+            return self[at : at + 1][0]
+        a, b, _ = at.indices(self._size)
+        if a >= b:
+            return b""
+        if self._hexes:
+            return bytes.fromhex(self._plain[self._place + 2 * a : self._place + 2 * b])
+        group = a // 3
+        text = self._plain[self._place + 4 * group : self._place + 4 * -(-b // 3)].replace("-", "+").replace("_", "/")
+        return binascii.a2b_base64(text + "=" * (-len(text) % 4))[a - 3 * group : b - 3 * group]
+
+
+class _Block:
+    """A stretch of encoding over line breaks, as one string, and its lines."""
+
+    def __init__(self, text: str, start: int, hexes: bool):
+        self.end = (_HEX_LINES if hexes else _LINES).match(text, start).end()
+        at, self._starts, lines = start, [], []
+        for gap in _GAP.finditer(text, start, self.end):
+            self._starts.append(at)
+            lines.append(text[at : gap.start()])
+            at = gap.end()
+        self._starts.append(at)
+        lines.append(text[at : self.end])
+        self.plain = "".join(lines)
+        self._upto = [0]
+        for line in lines:
+            self._upto.append(self._upto[-1] + len(line))
+
+    def place(self, at: int) -> int:
+        """Where a place of the text is in the one string."""
+        line = bisect.bisect_right(self._starts, at) - 1
+        return self._upto[line] + at - self._starts[line]
+
+    def line_end(self, place: int) -> int | None:
+        """The place in the text, if a line ends there."""
+        line = bisect.bisect_left(self._upto, place)
+        if line == 0 or line == len(self._upto) or self._upto[line] != place:
+            return None
+        return self._starts[line - 1] + place - self._upto[line - 1]
+
+
 def _wrapped(text: str, hexes: bool) -> list[tuple[str, int, int]]:
     """Keys in base64 or hex that runs over real or escaped line breaks. The
-    encoding's own length says where it ends, which must be the end of a line."""
-    found, past = [], 0
+    encoding's own length says where it ends, which must be the end of a line.
+
+    A stretch is put together once, for all the places in it where an encoding may
+    begin; of each only the bytes that say kind and lengths are decoded."""
+    found, past, block = [], 0, None
     for m in (_HEX_START if hexes else _START).finditer(text):
         a = m.start()
         if a < past:
             continue
-        head = bytes.fromhex(m[0]) if hexes else _decoded(m[0])
-        end = (_HEX_LINES if hexes else _LINES).match(text, a).end()
-        need = None
-        if head[0] == 0x30:
-            size = _length(head)
-            if size is None:
-                continue
-            need = 2 * size if hexes else -(-4 * size // 3)
-            if need > end - a:
-                continue
-        at, parts, have = a, [], 0
-        while at < end and (need is None or have < need):  # line by line
-            gap = _GAP.search(text, at, end)
-            stop = gap.start() if gap else end
-            parts.append((at, text[at:stop]))
-            have += stop - at
-            at = gap.end() if gap else end
-        plain = "".join(p for _, p in parts)
-        if need is None:
-            plain = plain[: len(plain) // 2 * 2] if hexes else plain[: len(plain) - (len(plain) % 4 == 1)]
-            data = bytes.fromhex(plain) if hexes else _decoded(plain)
-            size = _length(data or b"")
-            if size is None:
-                continue
-            need = 2 * size if hexes else -(-4 * size // 3)
-        data = bytes.fromhex(plain[:need]) if hexes else _decoded(plain[:need])
-        kind = _kind_of(data)
-        if not kind:
+        if block is None or a >= block.end:
+            block = _Block(text, a, hexes)
+        place = block.place(a)
+        view = _View(block.plain, place, hexes)
+        size = _length(view)
+        if size is None or size > len(view):
             continue
-        for at, part in parts:
-            need -= len(part)
-            if need <= 0:
-                break
-        if need == 0:
-            past = at + len(part)
-            past = past if hexes else _PAD.match(text, past).end()
+        end = block.line_end(place + (2 * size if hexes else -(-4 * size // 3)))
+        kind = _kind_of(view.first(size)) if end is not None else None
+        if kind:
+            past = end if hexes else _PAD.match(text, end).end()
             found.append((kind, a, past))
     return found
 
