@@ -381,6 +381,52 @@ def test_neighbours(spark):
     assert [r.vec_id for r in few] == [int(j) for j in np.argsort(-(x[:5] @ x[0])) if j != 0]
 
 
+def nearest_of(spark, rows):
+    """Lists of (vec_id, score) by query, ranks from 1 on."""
+    got = defaultdict(list)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, q long, node long, score int").repartition(3)
+    for r in neighbours.nearest(table).orderBy("query_id", "rank", "vec_id").collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    return got
+
+
+def test_repeated_rows_and_clashing_ids(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(300, 8))
+    rows = [(i, v.tolist(), 1, 2, 3) for i, v in enumerate(vectors)]
+    plain = nearest_of(spark, rows)
+    assert nearest_of(spark, rows * 3) == plain
+    assert all([r for r, _, _ in found] == list(range(1, 21)) and len({d for _, d, _ in found}) == 20 for found in plain.values())
+    # a second vector under 40, one under 41, and under 7 that of 41
+    second, third = rng.normal(size=(2, 8)) * 2
+    clash = rows + [(40, second.tolist(), 1, 2, 3), (41, third.tolist(), 1, 2, 3), (7, vectors[41].tolist(), 1, 2, 3)]
+    ids, x = np.array([r[0] for r in clash]), np.array([r[1] for r in clash])
+    want = defaultdict(list)
+    for i in np.flatnonzero(ids % 20 == 0):
+        scores = x @ x[i]
+        order = sorted((j for j in range(len(ids)) if j != i), key=lambda j: (-round(scores[j], 9), ids[j]))[:20]
+        want[int(ids[i])] += [(r, int(ids[j])) for r, j in enumerate(order, 1)]
+    got = nearest_of(spark, clash)
+    assert {q: sorted((r, d) for r, d, _ in found) for q, found in got.items()} == {q: sorted(f) for q, f in want.items()}
+    assert len(got[40]) == 40
+
+
+@pytest.mark.parametrize("longest", [1.0, 30.0, 10_000.0])
+def test_recall_at_any_lengths(spark, longest):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 24))
+    x = centres[rng.integers(60, size=2500)] + 0.35 * rng.normal(size=(2500, 24))
+    x *= (rng.uniform(0.5, 1.5, size=2500) / np.sqrt((x * x).sum(1)))[:, None]
+    x[1234] *= longest
+    rows = [(i, v.tolist(), 1, 2, 3) for i, v in enumerate(x)]
+    got, hits = nearest_of(spark, rows), 0
+    for q in range(0, 2500, 20):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & {d for _, d, _ in got[q]})
+    assert hits / (20 * 125) >= 0.95
+
+
 def test_reply_order_equals_a_walk_of_the_tree(spark):
     rng = random.Random(11)
     rows, want = [], {}
