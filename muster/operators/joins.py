@@ -110,14 +110,15 @@ def default_by_kind(history: DataFrame, defaults: Sequence[tuple[str, str]] = fi
     ).where(F.col("assumed_type").isNotNull())
 
 
-def split_join(large: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def split_join(large: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
+               by: Sequence[str] | None = None) -> DataFrame:
     """Inner or left join of a large table with a small one on few keys.
 
     Rows are counted by key first, in a pass over the keys that combines where the rows
     lie. A key with more rows than a task's even share is cut into so many pieces: its
-    rows are dealt by a hash of the row, and the small table's rows for it are repeated,
-    once a piece. Fewer keys than tasks can be that large, so their list is short. Rows
-    that are equal in all columns stay together; aggregate them before.
+    rows are dealt by a hash of all columns, or of those in ``by``, and the small table's
+    rows for it are repeated, once a piece. Fewer keys than tasks can be that large, so
+    their list is short. Rows of equal hash stay together; aggregate them before.
     """
     parts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.xxhash64(*keys)
@@ -128,7 +129,7 @@ def split_join(large: DataFrame, small: DataFrame, keys: Sequence[str], how: str
         return large.join(small, list(keys), how)
     many = F.create_map(*[F.lit(v) for pair in pieces.items() for v in pair])
     dealt = large.withColumn("_pieces", F.coalesce(F.try_element_at(many, key), F.lit(1)))
-    dealt = dealt.withColumn("_piece", F.pmod(F.xxhash64(*large.columns, F.lit("piece")), "_pieces")).drop("_pieces")
+    dealt = dealt.withColumn("_piece", F.pmod(F.xxhash64(*(by or large.columns), F.lit("piece")), "_pieces")).drop("_pieces")
     count = F.coalesce(F.try_element_at(many, key), F.lit(1))
     repeated = small.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1)))
     return dealt.join(repeated, [*keys, "_piece"], how).drop("_piece")
