@@ -2,8 +2,9 @@
 
 Each rule reads a few counts of a text and votes good (1), bad (0) or abstains
 (-1). Nobody says how far a rule can be trusted: expectation-maximisation
-estimates each rule's accuracy from how the rules agree; the posterior probability of quality decides,
-not a list of tests to pass all. Everything runs in built-in functions.
+estimates how often each rule votes which way on good and on bad texts, and how many
+texts are good, from how the votes fall together; the posterior probability of
+quality decides, not a list of tests to pass all. Everything runs in built-in functions.
 """
 
 from __future__ import annotations
@@ -82,76 +83,81 @@ def counted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 
 def votes() -> dict[str, Column]:
-    """The rules: each for a kind of junk votes bad or abstains, the last votes good
-    on what reads like prose or abstains."""
-    words = F.greatest("n_words", F.lit(1))
-    lines = F.greatest("n_lines", F.lit(1))
-    letters = F.col("word_chars") / words
-    stops = F.col("n_stops") / words
-    bad = {
-        "symbols": F.col("n_symbols") / words > 0.2,
-        "lines": (F.col("n_dup_lines") / lines > 0.3) & (F.col("n_dup_lines") >= 3),
-        "repeats": F.col("n_repeat_words") / words > 0.3,
-        "letters": (letters < 2) | (letters > 15),
-        "marks": F.col("n_marks") / words > 0.2,
+    """The rules. Each votes bad beyond one threshold, good on the safe side of another and
+    abstains between the two. A kind of junk shows in several counts, and some counts
+    have a strict and a lenient rule, so that votes on junk fall together."""
+    words, lines, chars = (F.greatest(n, F.lit(1)) for n in ("n_words", "n_lines", "word_chars"))
+    symbols, marks, stops = (F.col(n) / words for n in ("n_symbols", "n_marks", "n_stops"))
+    again, repeats = F.col("n_dup_lines") / lines, F.col("n_repeat_words") / words
+    punctuation = (F.col("n_symbols") + F.col("n_marks") + F.col("n_stops")) / chars
+    letters, in_line = F.col("word_chars") / words, F.col("n_words") / lines
+    rules = {
+        "symbols": (symbols > 0.2, symbols <= 0.01),
+        "some_symbols": (symbols > 0.05, symbols == 0),
+        "marks": (marks > 0.2, marks <= 0.02),
+        "some_marks": (marks > 0.08, marks == 0),
+        "punctuation": (punctuation > 0.06, punctuation.between(0.005, 0.03)),
+        "letters": (~letters.between(3.5, 6.5), letters.between(4.2, 5.8)),
+        "stops": (~stops.between(0.01, 0.35), stops.between(0.03, 0.2)),
+        "lines": (~in_line.between(4, 400), in_line.between(8, 150)),
+        "dup_lines": ((again > 0.3) & (F.col("n_dup_lines") >= 3), again == 0),
+        "repeats": (repeats > 0.3, repeats < 0.05),
+        "some_repeats": (repeats > 0.1, repeats == 0),
     }
-    prose = (F.col("n_words") >= 60) & letters.between(2, 15) & stops.between(0.005, 0.3)
     some = F.col("n_words") > 0
-    return {r: F.when(some & c, 0).otherwise(-1) for r, c in bad.items()} | {"prose": F.when(prose, 1).otherwise(-1)}
+    return {r: F.when(some & bad, 0).when(some & good, 1).otherwise(-1) for r, (bad, good) in rules.items()}
 
 
-ASSUMED = {"prose": 0.6}  # accuracy assumed of a rule before any text is seen; 0.95 for the others
+Rates = dict[str, dict[int, tuple[float, float]]]  # rule: {vote: (share among bad texts, among good ones)}
+VOTES = (0, 1, -1)
+START = {0: (0.3, 0.02), 1: (0.3, 0.8), -1: (0.4, 0.18)}  # rates before any text is seen
+SHARE = 0.8  # of good texts, before any is seen
 
 
-def fit(voted: DataFrame, names: list[str], share: float = 0.6, trust: float = 3.0, rounds: int = 25,
-        settled: float = 1e-4) -> dict[str, float]:
-    """{rule: accuracy} by expectation-maximisation.
+def fit(voted: DataFrame, names: list[str], trust: float = 0.1, rounds: int = 100,
+        settled: float = 1e-5) -> tuple[float, Rates]:
+    """(share of good texts, rates of votes) by expectation-maximisation.
 
-    A rule is right with its accuracy whenever it votes. The expectation step
-    gives each text its probability of quality under the current accuracies, the
-    maximisation step sets an accuracy to the expected share of right votes.
-    Junk comes in kinds, and a text of one kind rarely trips the rule for another,
-    so votes agree too seldom for agreement alone to tell a sound rule from noise:
-    the assumed accuracy weighs as ``trust`` times the votes cast, and the share
-    of good texts among those in doubt is given (``share``), not estimated.
+    The expectation step gives each text its probability of quality under the current
+    rates, the maximisation step counts each rule's votes on good and on bad texts by
+    these probabilities. The rates it starts from weigh as ``trust`` times the texts of
+    a class, a tenth, which keeps a rate from zero and says which class is the good one;
+    all else is free. Both classes and their sizes are estimated, no label is read.
 
     Texts are first counted by vote pattern: at most ``3 ** rules`` rows whatever
-    the corpus, so a round touches those alone and two sums a rule reach the driver.
+    the corpus, so a round touches those alone and six sums a rule reach the driver.
     """
     patterns = cut(voted.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1))
-    assumed = {r: ASSUMED.get(r.removeprefix("vote_"), 0.95) for r in names}
-    accuracy = dict(assumed)
+    share, rates = SHARE, {r: dict(START) for r in names}
     for _ in range(rounds):
-        good = posterior(share, accuracy)
-        sums = []
+        good = posterior(share, rates)
+        weighed = patterns.withColumn("good", F.col("n") * good).withColumn("bad", F.col("n") * (1 - good))
+        sums = [F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad")]
         for r in names:
-            right = F.when(F.col(r) == 1, good).when(F.col(r) == 0, 1 - good)
-            sums += [F.sum(F.col("n") * right).alias(f"{r}_right"),
-                     F.sum(F.when(F.col(r) >= 0, F.col("n"))).alias(f"{r}_cast")]
-        found = patterns.agg(*sums).first()
-        new = {}
-        for r in names:
-            cast = found[f"{r}_cast"] or 0
-            seen = found[f"{r}_right"] / cast if cast else assumed[r]
-            new[r] = min(0.999, max(0.5, (seen + trust * assumed[r]) / (1 + trust)))
-        moved = max(abs(new[r] - accuracy[r]) for r in names)
-        accuracy = new
+            for v in VOTES:
+                sums += [F.sum(F.when(F.col(r) == v, F.col(c)).otherwise(0.0)).alias(f"{r} {v} {c}") for c in ("bad", "good")]
+        found = weighed.agg(*sums).first()
+        if not found["n"]:
+            break
+        new = {r: {v: tuple((found[f"{r} {v} {c}"] + trust * found[c] * start + 1e-9) / ((1 + trust) * found[c] + 3e-9)
+                            for c, start in zip(("bad", "good"), START[v])) for v in VOTES} for r in names}
+        moved = max(abs(a - b) for r in names for v in VOTES for a, b in zip(new[r][v], rates[r][v]))
+        share, rates = min(1 - 1e-9, max(1e-9, found["good"] / found["n"])), new
         if moved < settled:
             break
-    return accuracy
+    return share, rates
 
 
-def posterior(share: float, accuracy: dict[str, float]) -> Column:
+def posterior(share: float, rates: Rates) -> Column:
     """Probability that a text is good, given its votes."""
     odds = F.lit(math.log(share / (1 - share)))
-    for r, right in accuracy.items():
-        step = math.log(right / (1 - right))
-        odds = odds + F.when(F.col(r) == 1, step).when(F.col(r) == 0, -step).otherwise(0.0)
+    for r, by_vote in rates.items():
+        steps = {v: math.log(good / bad) for v, (bad, good) in by_vote.items()}
+        odds = odds + F.when(F.col(r) == 1, steps[1]).when(F.col(r) == 0, steps[0]).otherwise(steps[-1])
     return 1 / (1 + F.exp(-odds))
 
 
-def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.5,
-          share: float = 0.6) -> DataFrame:
+def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
     """(key, counts, votes, quality, base_failed, kept) of every row.
 
     A text fails the base where it has under 50 words or over half its words lie
@@ -162,10 +168,10 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
     """
     rules = votes()
     rows = cut(counted(docs, key, text).withColumns({f"vote_{r}": c for r, c in rules.items()}))
-    accuracy = fit(rows, [f"vote_{r}" for r in rules], share)
+    share, rates = fit(rows, [f"vote_{r}" for r in rules])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
-        rows.withColumn("quality", posterior(share, accuracy))
+        rows.withColumn("quality", posterior(share, rates))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("quality") >= threshold))
         .withColumnRenamed("key", key)
