@@ -11,11 +11,14 @@ budget.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muster.llm.common import GAPS, cut
+from muster.operators.joins import split_join
+from muster.session import shared_folder
 
 BLOCK_ROWS = 10_000  # rows of a source that share a block of its permutation, on average
 
@@ -80,7 +83,7 @@ def plan(rows: DataFrame, budget: int | None, max_passes: float | None, entropy:
         "group", "weight", "budget", F.expr("budget div tokens").alias("passes"),
         F.expr("budget % tokens").alias("rest"), F.ceil(F.col("n") / BLOCK_ROWS).cast("long").alias("blocks"),
     ))
-    placed = rows.join(passes, "group").select(
+    placed = split_join(rows, passes, ["group"]).select(
         "group", "key", "tokens", "rest", _order("key", "passes").alias("h"), "blocks"
     ).withColumn("block", _block("h", "blocks"))
     totals = placed.groupBy("group", "block").agg(F.sum("tokens").alias("t"), F.first("rest").alias("rest"))
@@ -121,16 +124,20 @@ def mix(docs: DataFrame, budget: int | None = None, max_passes: float | None = 4
     together. An empty table gives no rows. Columns of the input named like the two
     added ones are replaced.
 
-    Texts are never shuffled: sources are planned on (source, key, tokens) and the
-    plan, one row a source, is joined to the rows where they lie if it is small.
+    Sources are planned on (source, key, tokens). The plan has one row a source; it is
+    joined to the rows where they lie if the planner finds it small, else the rows of a
+    large source are dealt out over many tasks. No text moves in the first case.
     """
     measure = (F.col(tokens) if tokens else word_count(F.col(text))).cast("long")
     rows = docs.select(_group(F.col(source)).alias("group"), F.col(key).alias("key"), measure.alias("tokens"))
-    ends = plan(cut(rows.where("tokens is not null")), budget, max_passes, entropy)
+    path = f"{shared_folder(docs.sparkSession)}/mix-{uuid.uuid4().hex}"
+    # a table, whose size the planner knows
+    plan(cut(rows.where("tokens is not null")), budget, max_passes, entropy).write.parquet(path)
+    ends = docs.sparkSession.read.parquet(path)
     kept = [c for c in docs.columns if c not in ("mix_pass", "mix_order")]
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), _group(F.col(source)).alias("group"),
                        F.col(key).alias("key"), measure.alias("tokens")).where("tokens is not null")
-    met = held.join(ends, "group").withColumn("h", _order("key", "passes")).withColumn("block", _block("h", "blocks"))
+    met = split_join(held, ends, ["group"], by=["key", "tokens"]).withColumn("h", _order("key", "passes")).withColumn("block", _block("h", "blocks"))
     early = (F.col("block") < F.col("end_block")) | (
         (F.col("block") == F.col("end_block"))
         & ((F.col("h") < F.col("last.h")) | ((F.col("h") == F.col("last.h")) & (F.col("key").isNull() | (F.col("key") <= F.col("last.key")))))
