@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from muster.llm.common import cut, map_batches
 from muster.llm.components import components
+from muster.operators.joins import split_join
 
 BITS = 64
 UNIT = 1024  # fingerprints of one key compared in one piece; larger keys are dealt in pairs of pieces
@@ -133,6 +134,13 @@ def close_pairs(fps: DataFrame, distance: int = 4, blocks: int = 7, unit: int =
     return _links(units, distance).distinct()
 
 
+def linked(fps: DataFrame, distance: int = 4, blocks: int = 7) -> DataFrame:
+    """(fp, root) of every distinct fingerprint; root is one fingerprint of its group."""
+    fps = fps.select("fp").distinct()
+    roots = components(close_pairs(fps, distance, blocks)).withColumnRenamed("node", "fp")
+    return fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_groups(docs: DataFrame, distance: int = 4, words: int = 4, blocks: int = 7,
                 key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fingerprint, component_id, copies) of every row.
@@ -146,11 +154,10 @@ def near_groups(docs: DataFrame, distance: int = 4, words: int = 4, blocks: int
     """
     own = cut(fingerprints(docs, key, text, words))
     nodes = own.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("copies"))
-    links = close_pairs(own.select("fp").distinct(), distance, blocks)
-    roots = components(links)
-    named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = cut(nodes.join(linked(own, distance, blocks), "fp"))
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(groups, "root").select("fp", "copies", "component_id")
+    # a group may hold a third of all fingerprints
+    named = split_join(named, groups, ["root"], by=["fp"]).select("fp", "copies", "component_id")
     return own.join(named, "fp").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "copies"
     )
