@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.llm import classifier, mixing, near, packing, secrets
-from muster.llm.common import table
+from muster.llm import classifier, mixing, packing, secrets, simhash
+from muster.llm.common import cut, table
 from muster.session import shared_folder
 
 MAX_PASSES = 2.0  # of any source in the mix
@@ -30,18 +30,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies, the one of the smallest id; a null id comes last,
-    and among equal ids a hash of the row decides. Near copies share four fifths of their 5-word
-    shingles (``near.SIMILAR``), directly or over others. Rows are told apart by text, not by id:
-    different texts under one id, or under null ids, all stay."""
-    # xxhash64 passes over nulls, so the flags tell which columns they are in
-    row = F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns])
-    tagged = docs.withColumns({"_node": near.node(F.col("text")), "_row": row})
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row", "_node")
-    least = tagged.groupBy(F.col("_node").alias("node")).agg(F.min(order).alias("least"))
-    groups = least.join(near.roots(docs.select("text")), "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
-    kept = groups.agg(F.min("least").alias("least")).select("least._node", "least._row")
+    and among equal ids a hash of the row decides. Near copies are those of the SimHash operator:
+    4-word shingles, fingerprints that differ in 4 bits at most, directly or over others. Rows are
+    told apart by 128 bits of hashes of all columns, not by id: different texts under one id, or
+    under null ids, all stay. Equal rows are one."""
+    # a hash passes over nulls, so the flags tell which columns they are in
+    columns = [*docs.columns, *[F.col(c).isNull() for c in docs.columns]]
+    mark = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*columns).alias("h"),
+                    F.xxhash64(F.lit("row"), *columns).alias("i"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), mark.alias("mark"))
+    marks = cut(simhash.fingerprints(rows.select("mark", "row.text"), key="mark"))
+    least = marks.groupBy("fp").agg(F.min("key").alias("least")).join(simhash.linked(marks), "fp")
+    kept = least.groupBy("root").agg(F.min("least").alias("least")).select("least.h", "least.i")
+    met = rows.join(kept, (rows["mark.h"] == kept["h"]) & (rows["mark.i"] == kept["i"]), "left_semi")
     # what the join leaves of a group are repeats of one row
-    return tagged.join(kept, ["_node", "_row"], "left_semi").dropDuplicates(["_node", "_row"]).select(*docs.columns)
+    return met.select("row", "mark.h", "mark.i").dropDuplicates(["h", "i"]).select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
