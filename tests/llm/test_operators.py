@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from muster.llm import classifier, components, mixing, neighbours, packing, quotes, repeats, rules, secrets, simhash, tokens
@@ -316,6 +317,50 @@ def test_quality_rules(docs, rows, none, monkeypatch, few):
     assert rules.judge(none).count() == 0
 
 
+def test_quality_is_the_posterior_of_a_plain_em(spark):
+    """Rates, share and posterior by a sequential version; the verdict is not all-must-pass."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    judged = rules.judge(docs).join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id", "left").collect()
+    names = [f"vote_{r}" for r in rules.votes()]
+    share, rates = rules.SHARE, {n: dict(rules.START) for n in names}
+    for _ in range(100):
+        sums, good_texts, new = defaultdict(float), 0.0, {}
+        for r in judged:
+            odds = share / (1 - share)
+            for n in names:
+                bad, good = rates[n][r[n]]
+                odds *= good / bad
+            p = odds / (1 + odds)
+            good_texts += p
+            for n in names:
+                sums[n, r[n], 0] += 1 - p
+                sums[n, r[n], 1] += p
+        sizes = (len(judged) - good_texts, good_texts)
+        for n in names:
+            new[n] = {v: tuple((sums[n, v, c] + 0.1 * sizes[c] * rules.START[v][c] + 1e-9) / (1.1 * sizes[c] + 3e-9)
+                               for c in (0, 1)) for v in rules.VOTES}
+        moved = max(abs(a - b) for n in names for v in rules.VOTES for a, b in zip(new[n][v], rates[n][v]))
+        share, rates = good_texts / len(judged), new
+        if moved < 1e-5:
+            break
+    right = differs = plain = 0
+    for r in judged:
+        odds = share / (1 - share)
+        for n in names:
+            bad, good = rates[n][r[n]]
+            odds *= good / bad
+        assert r.quality == pytest.approx(odds / (1 + odds), abs=1e-6)
+        assert r.kept == (not r.base_failed and r.quality >= 0.5)
+        passes_all = not r.base_failed and all(r[n] != 0 for n in names)
+        differs += r.kept != passes_all
+        if r.label is not None:
+            right += r.kept == (r.label == 1)
+            plain += passes_all == (r.label == 1)
+            assert r.kept or r.label == 0 or r.base_failed  # what is labelled good goes by the base alone
+    assert differs > 0 and right > plain
+
+
 def test_mixing(spark, none):
     rows = [(i, "ab"[i % 10 == 0], 1 + i % 7) for i in range(1000)] + [(2000 + i, None, 3) for i in range(50)] + [(3000, "empty", 0), (3001, "a", None)]
     table = spark.createDataFrame(rows, "doc_id long, source string, n long")
