@@ -9,10 +9,13 @@ answer, and their own words remain without the quotations.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.llm.common import cut
+from muster.operators.numbering import number_rows
+
+SPAN = 10_000  # rows of a group read in one stretch
 
 MARKS = r"^((?:[ \t]*>)*)[ \t]?(.*)$"
 SENTENCE = r"(?<=[.!?…])[\"'”’)\]]*\s+|(?<=[。！？])"
@@ -56,6 +59,18 @@ def passages(messages: DataFrame) -> DataFrame:
     return runs.select("conv", "at", "level", "part", "passage", pieces.alias("pieces"))
 
 
+def _running_max(rows: DataFrame, keys: list[str], place: str, value: str, name: str) -> DataFrame:
+    """Add the largest ``value`` up to each row's place, from 1 in its group, null before the first.
+    A group is read in stretches of ``SPAN`` rows and takes over the maxima of those before."""
+    part = F.expr(f"({place} - 1) div {SPAN}")
+    here = Window.partitionBy(*keys, "_part").orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = rows.withColumn("_part", part).withColumn("_here", F.max(value).over(here))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = marked.groupBy(*keys, "_part").agg(F.max(value).alias("_most"))
+    parts = parts.select(*keys, "_part", F.max("_most").over(before).alias("_earlier"))
+    return marked.join(parts, [*keys, "_part"]).withColumn(name, F.coalesce("_here", "_earlier")).drop("_part", "_here", "_earlier")
+
+
 def _authors(found: DataFrame) -> DataFrame:
     """(conv, at, source) per message whose quotations meet an earlier message, its source.
 
@@ -73,9 +88,10 @@ def _authors(found: DataFrame) -> DataFrame:
     given = rows.withColumns({"level": F.col("level") + 1, "asks": F.lit(False)})
     given = given.join(wanted.select("conv", "level", "whole", "piece").distinct(), ["conv", "level", "whole", "piece"], "left_semi")
     # who quotes in a turn comes before who writes in it, so only earlier turns are seen
-    latest = F.expr("""last(CASE WHEN NOT asks THEN at END, true) OVER (PARTITION BY conv, level, whole, piece
-        ORDER BY at.turn, asks DESC, at.rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
-    met = wanted.unionByName(given).withColumn("source", latest).where("asks and source is not null")
+    every = wanted.unionByName(given).withColumns({"turn": F.col("at.turn"), "writes": ~F.col("asks"), "rank": F.col("at.rank")})
+    of = ["conv", "level", "whole", "piece"]
+    every = number_rows(every, of, ["turn", "writes", "rank", "part"]).withColumn("wrote", F.when(F.col("writes"), F.col("at")))
+    met = _running_max(every, of, "place", "wrote", "source").where("asks and source is not null")
     words = F.sum(F.size(F.split("piece", " ")))
     covered = met.groupBy("conv", "at", "level", "part", "source").agg(F.max("whole").alias("whole"), words.alias("words"))
     chosen = covered.groupBy("conv", "at", "level", "part").agg(F.max_by("source", F.struct("whole", "words", "source")).alias("source"))
@@ -111,8 +127,8 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     kinds = known.groupBy("conv", "turn").agg(F.min("row").alias("one"), F.max("row").alias("other"))
     clash = kinds.where("one <> other").select("conv", "turn")
     ranks = known.join(clash, ["conv", "turn"], "left_semi").select("conv", "turn", "row", "text", "role").distinct()
-    rank = F.expr("row_number() OVER (PARTITION BY conv, turn ORDER BY text, role, row)")
-    ranks = cut(ranks.select("conv", "turn", "row", rank.alias("rank")))
+    ranks = number_rows(ranks, ["conv", "turn"], ["text", "role", "row"], name="rank")
+    ranks = cut(ranks.select("conv", "turn", "row", F.col("rank").cast("int").alias("rank")))
     at = F.struct("turn", F.coalesce("rank", F.lit(1)).alias("rank"))
     rows = rows.join(ranks, ["conv", "turn", "row"], "left").withColumn("at", at)
     quoting = rows.where("conv is not null and turn is not null and depth > 0").select("conv").distinct()
@@ -121,8 +137,9 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     quotes = found.where("level > 0").groupBy("conv", "at").agg(F.count("*").alias("n_quotes"))
     turns = kinds.select("conv", "turn").join(ranks.groupBy("conv", "turn").agg(F.max("rank").alias("last")), ["conv", "turn"], "left")
     turns = turns.withColumn("last", F.coalesce("last", F.lit(1)))
-    prior = F.expr("lag(struct(turn, last AS rank)) OVER (PARTITION BY conv ORDER BY turn)")
-    each = turns.withColumn("prior", prior).withColumn("rank", F.explode(F.sequence(F.lit(1), F.col("last"))))
+    turns = cut(number_rows(turns, ["conv"], ["turn"], name="no"))
+    prior = turns.select("conv", (F.col("no") + 1).alias("no"), F.struct("turn", F.col("last").alias("rank")).alias("prior"))
+    each = turns.join(prior, ["conv", "no"], "left").withColumn("rank", F.explode(F.sequence(F.lit(1), F.col("last"))))
     before = F.when(F.col("rank") > 1, F.struct("turn", (F.col("rank") - 1).alias("rank"))).otherwise(F.col("prior"))
     tree = each.select("conv", F.struct("turn", "rank").alias("at"), "prior", before.alias("before"))
     tree = tree.join(_authors(found), ["conv", "at"], "left").join(quotes, ["conv", "at"], "left")
@@ -140,28 +157,43 @@ def _in_reply_order(tree: DataFrame) -> DataFrame:
 
     Messages that each answer the one of the turn before form a run, which stands
     together: its next message is always the first of the answers. So only runs are
-    put in order, by their path of (place answered, latest first; own start) from the
-    first run. A conversation without links back is one run, whatever its length.
-    Paths double in length each round and only unfinished ones are joined, so runs
-    nested d deep take log d rounds; their paths hold d entries each.
+    put in order. Runs that answer one run come after it by place answered, latest
+    first, then by own start. An Euler tour enters and leaves every run once; it is a
+    chain of two links a run, whose distances to the end, in messages, are found by
+    pointer doubling: each round a link skips as many others as the one it points to.
+    A conversation of m runs takes log m rounds over 2 m rows, however they are nested.
     """
-    turns = "OVER (PARTITION BY conv ORDER BY turn)"
-    numbered = tree.withColumn("no", F.expr(f"row_number() {turns}").cast("long"))
-    numbered = numbered.withColumn("start", F.expr("CASE WHEN parent <=> before THEN 0 ELSE 1 END"))
-    numbered = cut(numbered.withColumn("run", F.expr(f"sum(start) {turns}")))
-    heads = numbered.where("start = 1").select("conv", "run", "parent", F.col("no").alias("own"))
+    numbered = number_rows(tree, ["conv"], ["turn"], name="no").withColumn("no", F.col("no").cast("long"))
+    start = F.when(~F.col("parent").eqNullSafe(F.col("before")), F.col("no"))
+    numbered = _running_max(numbered.withColumn("start", start), ["conv"], "no", "start", "run")
+    numbered = cut(numbered.withColumn("run", F.coalesce("run", F.lit(1).cast("long"))))
+    # a run is known by the number of its first message
+    runs = numbered.groupBy("conv", "run").agg(F.count("*").alias("n"))
+    heads = numbered.where("no = run").select("conv", "run", "parent")
     answered = numbered.select("conv", F.col("turn").alias("parent"), F.col("no").alias("at"), F.col("run").alias("up"))
-    step = F.array(F.struct((-F.col("at")).alias("back"), F.col("own").alias("own")))
-    above = heads.join(answered, ["conv", "parent"]).select("conv", "run", "up", step.alias("path"))
-    sizes = numbered.groupBy("conv", "run").agg(F.min("no").alias("head"), F.count("*").alias("n"))
-    none = F.array().cast("array<struct<back: bigint, own: bigint>>")
-    paths = cut(sizes.join(above, ["conv", "run"], "left").select("conv", "run", "head", "n", "up", F.coalesce("path", none).alias("path")))
-    while paths.where("up is not null").limit(1).count():
-        over = paths.select("conv", F.col("run").alias("up"), F.col("up").alias("up2"), F.col("path").alias("path2"))
-        longer = paths.where("up is not null").join(over, ["conv", "up"]).select(
-            "conv", "run", "head", "n", F.col("up2").alias("up"), F.concat("path2", "path").alias("path"))
-        paths = cut(paths.where("up is null").union(longer.select(*paths.columns)))
-    before = F.expr("sum(n) OVER (PARTITION BY conv ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    first = paths.select("conv", "run", (F.coalesce(before, F.lit(0)) - F.col("head") + 1).alias("shift"))
+    several = runs.where("run > 1").select("conv").distinct()
+    zero = F.lit(0).cast("long")
+    # what answers nothing hangs on run 0, which is none
+    hung = heads.join(several, "conv", "left_semi").join(answered, ["conv", "parent"], "left").select(
+        "conv", "run", F.coalesce("up", zero).alias("up"), F.coalesce(-F.col("at"), zero).alias("back"))
+    hung = cut(number_rows(hung, ["conv", "up"], ["back", "run"]))
+    child = hung.where("place = 1").select("conv", F.col("up").alias("run"), F.col("run").alias("child"))
+    after = hung.select("conv", "up", (F.col("place") - 1).alias("place"), F.col("run").alias("sibling"))
+    known = hung.join(after, ["conv", "up", "place"], "left").join(child, ["conv", "run"], "left").join(runs, ["conv", "run"])
+    enter = F.struct((F.col("run") * 2).alias("id"), F.coalesce(F.col("child") * 2, F.col("run") * 2 + 1).alias("next"),
+                     F.col("n").alias("left"))
+    leave = F.struct((F.col("run") * 2 + 1).alias("id"),
+                     F.coalesce(F.col("sibling") * 2, F.when(F.col("up") > 0, F.col("up") * 2 + 1)).alias("next"), zero.alias("left"))
+    tour = cut(known.select("conv", F.inline(F.array(enter, leave))))
+    while not tour.where("next is not null").isEmpty():
+        ahead = tour.select("conv", F.col("id").alias("next"), F.col("left").alias("more"), F.col("next").alias("far"))
+        gone = tour.where("next is not null").join(ahead, ["conv", "next"])
+        gone = gone.select("conv", "id", F.col("far").alias("next"), (F.col("left") + F.col("more")).alias("left"))
+        tour = cut(gone.union(tour.where("next is null").select("conv", "id", "next", "left")))
+    left = tour.where("id % 2 = 0").select("conv", F.expr("id div 2").alias("run"), "left")
+    sizes = runs.groupBy("conv").agg(F.sum("n").alias("all"))
+    first = runs.join(sizes, "conv").join(left, ["conv", "run"], "left")
+    first = first.select("conv", "run", (F.col("all") - F.coalesce("left", "all")).alias("before_run"))
     placed = numbered.join(first, ["conv", "run"])
-    return placed.withColumn("place", (F.col("no") + F.col("shift")).cast("int")).drop("no", "start", "run", "shift", "before")
+    place = F.col("before_run") + F.col("no") - F.col("run") + 1
+    return placed.withColumn("place", place.cast("int")).drop("no", "start", "run", "before_run", "before")

@@ -43,3 +43,35 @@ def test_repeated_and_clashing_turns(spark):
     assert two[0, "a first line\na second line"] == two[0, "b first line\nb second line"] == (None, False, 0)
     places = {r.place: (r.turn, r.text[:8]) for r in got if r.conv_id == 2}
     assert sorted(places) == [1, 2, 3, 4, 5, 6] and places[1] == (0, "a first ") and places[2] == (0, "b first ")
+
+
+def test_a_chain_of_quotations_two_turns_back_keeps_linear_state(spark, monkeypatch):
+    """Every message answers the one two turns before: each is a run of its own, nested deep."""
+    n, sizes = 1500, []
+    plain = quotes.cut
+    monkeypatch.setattr(quotes, "cut", lambda df: (lambda c: (sizes.append(c.count()), c)[1])(plain(df)))
+    tree = spark.createDataFrame([(1, t, t - 1 if t else None, max(t - 2, 0) if t else None) for t in range(n)],
+                                 "conv long, turn int, before int, parent int")
+    got = {r.turn: r.place for r in quotes._in_reply_order(tree).collect()}
+    # 0, 1, then what answers 1, then the other answers of 0
+    order = [0, *range(1, n, 2), *range(2, n, 2)]
+    assert got == {t: i for i, t in enumerate(order, 1)}
+    assert max(sizes) <= 2 * n and len(sizes) < 20
+
+
+def test_long_groups_are_read_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "SPAN", 3)
+    rows = [(1, i, i if i in (4, 5, 11) else None) for i in range(1, 20)] + [(2, 1, None), (2, 2, 7)]
+    df = quotes._running_max(spark.createDataFrame(rows, "g int, place int, v int"), ["g"], "place", "v", "m")
+    want = {(g, p): max((v for h, q, v in rows if h == g and q <= p and v), default=None) for g, p, _ in rows}
+    assert {(r.g, r.place): r.m for r in df.collect()} == want
+
+
+def test_extra_columns_with_clashing_names(spark):
+    rows = [(1, 0, "u", "Hello there friend", 9, "x", True), (1, 1, "a", "Aside", 9, "x", True),
+            (1, 2, "a", "> Hello there friend\nHi", 9, "x", True), (None, 3, "a", "> Hello", 9, "x", True)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", place int, conv string, asks boolean")
+    got = quotes.link(docs).collect()
+    assert sorted((r.turn, r.parent_turn, r.linked, r.place) for r in got if r.conv_id) == [
+        (0, None, False, 1), (1, 0, False, 2), (2, 0, True, 3)]
+    assert quotes.link(docs.limit(0)).count() == 0
