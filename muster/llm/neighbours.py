@@ -7,7 +7,7 @@ enter its list, until few do. Queries walk the graph greedily: the best nodes
 met so far are expanded, what they point to is scored, the best are kept, until
 all of those have been expanded.
 
-Nearness is the inner product. Vectors are filed into shells by length, each twice
+Nearness is the inner product. Vectors are filed into shells by length, each four times
 as long as the one before. Within a shell every vector gets one more component that
 brings all to the length of the longest there, which turns the largest inner product
 into the smallest angle; so no vector, however long, blurs the others. A shell has a
@@ -47,16 +47,15 @@ def _half(nodes: DataFrame) -> DataFrame:
     def make():
         def work(batch):
             v = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
-            # the exponent of the length; scaled first, as squares of very long or short vectors do not fit
-            peak = np.abs(v).max(axis=1, initial=0)
-            shell = np.frexp(peak)[1]
-            v = np.ldexp(v, -shell[:, None])
-            length = np.sqrt((v * v).sum(1))
-            more = np.frexp(length)[1]
-            v = np.ldexp(v, -more[:, None])
+            # scaled first, as squares of very long or short vectors do not fit
+            peak = np.frexp(np.abs(v).max(axis=1, initial=0))[1]
+            v = np.ldexp(v, -peak[:, None])
+            # lengths from 1/2 to 2 are shell 0, so those about 1 are not torn apart
+            shell = (peak + np.frexp(np.sqrt((v * v).sum(1)))[1]) // 2
+            v = np.ldexp(v, (peak - 2 * shell - 1)[:, None])
             rest = np.sqrt(np.maximum(0, 1 - (v * v).sum(1, keepdims=True)))
             half = np.concatenate([v, rest], 1).astype(np.float16)
-            return {"node": batch.column(0), "shell": (shell + more).astype(np.int32), "b": [x.tobytes() for x in half]}
+            return {"node": batch.column(0), "shell": shell.astype(np.int32), "b": [x.tobytes() for x in half]}
 
         return work
 
@@ -159,7 +158,7 @@ def search(half: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = 16
         met = pairs.join(half.withColumnRenamed("node", "near").drop("shell"), "near").join(asked, "q")
         return map_batches(met.select("q", "shell", "near", "bq", "b"), "q long, shell int, near long, score float", make)
 
-    # lengths of doubles have some 2,100 exponents, so there are at most so many shells
+    # lengths of doubles have some 2,100 exponents, so there are at most half as many shells
     place = F.expr("row_number() OVER (PARTITION BY shell ORDER BY xxhash64(node), node)")
     spread = half.select("shell", "node").withColumn("place", place).where(f"place <= {seeds}").collect()
     if not spread:
@@ -176,6 +175,7 @@ def search(half: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = 16
         every = kept.union(scored(ahead).withColumn("done", F.lit(False)))
         rank = F.expr("row_number() OVER (PARTITION BY q, shell ORDER BY score DESC, near)")
         state = cut(every.withColumn("r", rank).where(f"r <= {beam}").drop("r"))
+        release(state)
         if state.where("not done").isEmpty():
             return state.select("q", F.col("near").alias("node"))
 
