@@ -143,6 +143,8 @@ def _serve_tangled(queue: DataFrame, free: DataFrame, size: int, watch: Callable
         wrong = todo.count()
         if watch:
             watch(wrong)
+        if not wrong and matched is None:  # no free vehicle at all
+            return queue.limit(0).select("generic", F.lit(None).cast("string").alias("_free"))
         if not wrong:
             return matched.select("generic", F.col("vehicle").alias("_free"))
         reach = now.join(todo, "slice", "left_semi").withColumn(

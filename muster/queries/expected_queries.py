@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from muster.functions import codes, fixed
-from muster.operators import evaluate, expected, joins, publish, study, usage
+from muster.operators import assign, evaluate, expected, joins, publish, study, usage
 from muster.plans import expected as expected_plan
 from muster.plans import production
 from muster.queries.registry import query
@@ -506,6 +506,31 @@ def _(t):
     )
 
 
+@query(
+    "default_vehicle_shared",
+    """WITH RECURSIVE waiting AS (
+         SELECT t.generic, t.expected_type, row_number() OVER (ORDER BY f.first_id NULLS FIRST, t.generic) AS turn
+         FROM {unit_types} t JOIN (SELECT generic, min(carid) AS first_id FROM {ground_history} GROUP BY 1) f
+           ON t.generic = f.generic
+         WHERE t.expected_type IS NOT NULL AND t.generic NOT IN (SELECT generic FROM {walk})),
+       stock AS (
+         SELECT vehicle_type, list(vehicle ORDER BY vehicle) AS vehicles FROM {shared_types}
+         WHERE vehicle NOT IN (SELECT default_vehicle FROM {walk}) GROUP BY 1),
+       steps AS (
+         SELECT CAST(0 AS BIGINT) AS turn, CAST('' AS STRING) AS generic, CAST(NULL AS STRING) AS default_vehicle,
+           CAST([] AS STRING[]) AS taken
+         UNION ALL
+         SELECT w.turn, w.generic, [x for x in k.vehicles if NOT list_contains(p.taken, x)][1],
+           list_concat(p.taken, coalesce([x for x in k.vehicles if NOT list_contains(p.taken, x)][1:1], []))
+         FROM steps p JOIN waiting w ON w.turn = p.turn + 1 LEFT JOIN stock k ON k.vehicle_type = w.expected_type)
+       SELECT generic, default_vehicle FROM steps WHERE default_vehicle IS NOT NULL""",
+)
+def _(t):
+    done = expected_plan.first_pass(t.unit_history, t.shift_inventory, active_types(t))
+    filled = assign.default_vehicle_fill(done["types"], done["taken"], done["order"], done["uses"], t.shared_types)
+    return filled.where("source = 'free'").select("generic", "default_vehicle")
+
+
 @query(
     "expected_table",
     """SELECT generic, expected_type AS expected_unit_type, default_vehicle,

@@ -88,6 +88,12 @@ VIEWS = {
                 ELSE 'AA002S' END AS vehicle_type,
             CASE WHEN p_size = 50 THEN 0 ELSE 1 END AS active
         FROM {{part}}""",
+    # Some ambulances listed under a second type.
+    "shared_types": """
+        SELECT vehicle, vehicle_type FROM {vehicle_types} WHERE active = 1
+        UNION ALL
+        SELECT vehicle, CASE vehicle_type WHEN 'SC113' THEN 'SC114' WHEN 'SC114' THEN 'DS013' ELSE 'SC113' END
+        FROM {vehicle_types} WHERE active = 1 AND length(vehicle) = 4 AND (vehicle LIKE '%1' OR vehicle LIKE '%4' OR vehicle LIKE '%7')""",
     "vehicle_register": """
         SELECT vehicle AS name, 'V_' || vehicle AS external_key,
             CASE WHEN vehicle_type = 'WA002N' THEN 'UT_WA002N4'

@@ -190,6 +190,15 @@ def test_vehicles_of_several_types_in_few_rounds(spark, units, vehicles, names,
     assert len(seen) < 20 and seen[-1] == 0
 
 
+def test_types_tied_together_without_a_free_vehicle(spark, table):
+    wanted = table("generic string, expected_type string", ("U1", "T1"), ("U2", "T2"))
+    first = table("generic string, default_vehicle string", ("U1", "7"))
+    uses = table("generic string, carid string, n bigint", ("U1", "7", 1), ("U2", "8", 1))
+    listed = table("vehicle string, vehicle_type string", ("7", "T1"), ("7", "T2"))
+    got = assign.default_vehicle_fill(wanted, first, assign.unit_order(uses), uses, listed)
+    assert rows(got, "generic", "default_vehicle", "source") == [("U1", "7", "own"), ("U2", "8", "duplicate")]
+
+
 def test_numbers_run_through_large_groups(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("g"), ((F.col("id") * 7919) % 1000).alias("v")
