@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.functions import fixed
-from muster.operators import assign, expected, filters, joins, publish, usage
+from muster.operators import assign, evaluate, expected, filters, joins, publish, usage
+from muster.operators import study as study_steps
 from muster.operators.study import study_cells
 from muster.session import cut
 from muster.sources import tables
@@ -31,6 +34,35 @@ def study(history: DataFrame, shifts: DataFrame, types: DataFrame, *, kinds=fixe
     return study_cells(history, planned, types)
 
 
+def study_report(history: DataFrame, shifts: DataFrame, types: DataFrame, *, kinds=fixed.STUDY_GROUND_KINDS,
+                 cities=fixed.CITY_GROUPS, matrix: Sequence[str] = (), k: int = 30,
+                 threshold: float = 0.5) -> dict[str, DataFrame]:
+    """The whole study: how often types occur and change, how long they last, and how well
+    defaults per letter, per group and by monthly update would have done.
+
+    Cells, transitions and runs are written once and every table reads from them.
+    ``matrix`` names the types of the transition matrix; without them it is left out.
+    """
+    cells = cut(study(history, shifts, types, kinds=kinds, cities=cities))
+    steps, runs = cut(study_steps.type_transitions(cells)), cut(study_steps.type_runs(cells))
+    found = {
+        "type_frequency": study_steps.type_frequency(cells),
+        "types_per_unit": study_steps.types_per_unit_histogram(cells),
+        "types_per_unit_later": study_steps.types_per_unit_later(runs),
+        "transitions": study_steps.transition_share(steps),
+        "change_rate": study_steps.change_rate(steps),
+        "run_lengths": study_steps.run_histogram(runs),
+        "long_runs": study_steps.long_runs(runs),
+        "types_per_group": study_steps.types_per_group_histogram(cells),
+        "dominant_type": study_steps.dominant_type(cells),
+        "rule_accuracy": study_steps.rule_accuracy(cells),
+        "monthly_update": evaluate.backtest_monthly(cells, k=k, threshold=threshold),
+    }
+    if matrix:
+        found["transition_matrix"] = study_steps.transition_matrix(steps, matrix)
+    return found
+
+
 def first_pass(history: DataFrame, shifts: DataFrame, types: DataFrame, *, k: int = 30,
                threshold: float = 0.6) -> dict[str, DataFrame]:
     """Types, vehicles taken in turn, and the uses both build on.

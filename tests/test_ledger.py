@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import rows, values
 from muster.functions import codes
 from muster.operators import contractors, evaluate, expected, filters, fleet, forms, joins, publish, study, usage
+from muster.plans import expected as expected_plan
 from muster.plans import production
 
 DAY = dt.datetime(2024, 1, 1)
@@ -309,3 +310,18 @@ def test_shares_without_a_window_over_all_rows(table):
     assert [r[2] for r in got][:2] == [0.12, 0.23]
     windows = [line for line in ecdf._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in line]
     assert len(windows) == 1 and "_stretch" in windows[0]
+
+
+def test_one_call_gives_the_whole_study(table):
+    units = [("CALG-1A1", "CALG-1_1"), ("CALG-1T2", "CALG-1T2")]
+    days = [dt.datetime(2024, 1, 1) + dt.timedelta(days=i) for i in range(70)]
+    history = table("unid string, carid string, cdts2 timestamp_ntz", *[(u, str(i // 7 % 2), d) for i, d in enumerate(days) for u, _ in units])
+    shifts = table("unit_name string, generic string, active_inactive string, cad_unit_type string, agency string, type string, district string",
+                   *[(u, g, "Active", "ALS", "AHSETX", "Crew", "D1") for u, g in units])
+    types = table("vehicle string, vehicle_type string", ("0", "SC113"), ("1", "AA002N"))
+    report = expected_plan.study_report(history, shifts, types, matrix=["SC113", "AA002N"])
+    assert rows(report["type_frequency"], "vehicle_type", "n") == [("AA002N", 70), ("SC113", 70)]
+    assert rows(report["change_rate"]) == [(18, 138, pytest.approx(100 * 18 / 138))]
+    assert rows(report["run_lengths"]) == [(5, 20)]
+    assert report["monthly_update"].count() == 2 and report["transition_matrix"].count() == 2
+    assert all(df.count() > 0 for df in report.values())
