@@ -28,7 +28,7 @@ SHAPES = 1 << 10
 DIMS = 48
 SHAPE_DIMS = 24
 NEAR = 2  # neighbours to either side
-MEMO = 500_000
+MEMO = 64 << 20  # bytes of words a task remembers before it starts again
 LONG = 64  # characters; longer words are placed anew each time
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUNS = re.compile(r"(.)\1+")
@@ -54,11 +54,15 @@ def _core(word: str) -> str:
 
 
 class _Places(dict):
-    """Row of the word table times ``SHAPES`` plus row of the shape table, per word."""
+    """Row of the word table times ``SHAPES`` plus row of the shape table, per word. A task
+    has one of its own, so that nothing stays in a worker when the task ends."""
+
+    held = 0
 
     def __missing__(self, word: str) -> int:
-        if len(self) > MEMO:
+        if self.held > MEMO:
             self.clear()
+            self.held = 0
         # plain words, alone or before a mark, are most; their core and shape need no look at each letter
         plain, mark = (word[:-1], word[-1]) if word[-1] in ".,;:!?" else (word, "")
         if plain.isalpha() and plain.islower():
@@ -71,16 +75,14 @@ class _Places(dict):
         place = row * SHAPES + 1 + zlib.crc32(shape.encode("utf-8", "surrogatepass")) % (SHAPES - 1)
         if len(word) <= LONG:
             self[word] = place
+            self.held += 200 + len(word)
         return place
 
 
-_places = _Places()
-
-
-def read(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+def read(text: str | None, places: _Places) -> tuple[np.ndarray, np.ndarray]:
     """Word and shape rows of a text; shape 0 marks a word equal to the one before."""
     words = (text or "").split()
-    found = np.fromiter(map(_places.__getitem__, words), np.int64, len(words))
+    found = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
     shapes = found % SHAPES
     for at in np.flatnonzero(found[1:] == found[:-1]) + 1:  # equal places are seldom different words
         if words[at] == words[at - 1]:
@@ -99,8 +101,8 @@ class Model:
     layers: list = field(default_factory=list)
     temperature: float = 1.0
 
-    def pooled(self, text: str | None) -> np.ndarray:
-        words, shapes = read(text)
+    def pooled(self, text: str | None, places: _Places) -> np.ndarray:
+        words, shapes = read(text, places)
         n = len(words)
         out = np.zeros(DIMS + SHAPE_DIMS + 2, np.float32)
         out[-1] = np.log1p(n)
@@ -132,8 +134,9 @@ def context_sums(texts: DataFrame, text: str = "text", block: int = 512) -> np.n
     def run(batches):
         index = index_vectors(WORDS, DIMS, 1)
         table = np.zeros((WORDS, DIMS), np.float32)
+        places = _Places()
         for batch in batches:
-            for words in (read(t)[0] for t in batch.column(0).to_pylist()):
+            for words in (read(t, places)[0] for t in batch.column(0).to_pylist()):
                 for gap in range(1, NEAR + 1):
                     if len(words) > gap:
                         np.add.at(table, words[gap:], index[words[:-gap]])
@@ -212,8 +215,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, key: str = "do
     model.words /= np.where(norm > 0, norm, 1)
 
     def make():
+        places = _Places()
         return lambda batch: {
-            "x": [model.pooled(t).tobytes() for t in batch.column(0).to_pylist()],
+            "x": [model.pooled(t, places).tobytes() for t in batch.column(0).to_pylist()],
             "y": batch.column(1), "fold": batch.column(2),
         }
 
@@ -248,11 +252,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size, see Model
 
     def make():
-        own = shared.value
+        own, places = shared.value, _Places()
 
         def work(batch):
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            pooled = np.array([own.pooled(t) for t in texts])
+            pooled = np.array([own.pooled(t, places) for t in texts])
             return {f"c{i}": batch.column(i) for i in range(len(kinds))} | {"score": own.probability(pooled)}
 
         return work
