@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert [s[0].split()[0] for s in corpus_pipeline.STAGES] == ["quality", "SimHash", "secret", "mixing", "packing"]
 
 
