@@ -226,6 +226,10 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, most: np.ndarray, least: np.
     rows = order[later]
     yield rows, -ll[rows], rl[rows]  # the whole context stands in a smaller document
     own = order[~same]  # one row per different context, in its smallest document
+    # which may hold it more than once: those rows follow it in the order and lose what it loses
+    alike = np.bincount(head[same & (doc[order] == first)], minlength=n) + 1
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
     many = np.bincount(group[own], minlength=int(group.max()) + 1)[group[own]] > 1
     own = own[many]
     low = REACH - np.minimum(ll, most)
@@ -241,14 +245,15 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, most: np.ndarray, least: np.
     row, offset = own[row[again]], offset[again]
     if not len(row):
         return
-    suffix = np.zeros((len(row), 4 + width), np.uint8)
+    suffix = np.zeros((len(row), 5 + width), np.uint8)
     suffix[:, :4] = text[row, width + 2 :]
     edges = np.searchsorted(offset, np.arange(REACH + 2))
     for o, (a, b) in enumerate(zip(edges, edges[1:])):
         suffix[a:b, 4 : 4 + width - o] = text[row[a:b], o:width]
     ends = 4 + REACH + rl[row] - offset
-    array = np.argsort(suffix.view(f"S{4 + width}")[:, 0], kind="stable")  # the suffix array
-    row, offset, suffix, ends = row[array], offset[array], suffix[array], ends[array]
+    suffix[:, -1] = ends  # a text may hold zeros, as what fills up does: the shorter goes first
+    array = np.argsort(suffix.view(f"S{5 + width}")[:, 0], kind="stable")  # the suffix array
+    row, offset, suffix, ends = row[array], offset[array], suffix[array, :-1], ends[array]
     before = np.where(offset > low[row], text[row, offset - 1].astype(np.int64), -1)
     out: list[tuple[np.ndarray, int, int]] = []
     for length, a, b in repeat_groups(suffix, ends, before, 4 + MIN):
@@ -259,7 +264,17 @@ def _first_seen(group: np.ndarray, doc: np.ndarray, most: np.ndarray, least: np.
     if out:
         gone = np.concatenate([g for g, _ in out])
         size = np.concatenate([np.full(len(g), s) for g, s in out])
-        yield row[gone], offset[gone] - REACH, offset[gone] - REACH + size
+        # two spans of one context overlap, as it is shorter than both: they are one
+        by_row = np.argsort(row[gone], kind="stable")
+        gone, size = gone[by_row], size[by_row]
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(row[gone]) > 0]))
+        low = np.minimum.reduceat(offset[gone], starts)
+        high = np.maximum.reduceat(offset[gone] + size, starts)
+        at = place[row[gone[starts]]]
+        times = alike[at]
+        each = np.repeat(np.arange(len(at)), times)
+        rows = order[at[each] + np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)]
+        yield rows, low[each] - REACH, high[each] - REACH
 
 
 OPEN, SEEN, COPY = 0, 1, 2  # what is known of a place: to be compared, context stands earlier, text is a copy
@@ -508,7 +523,7 @@ def _merged(spans: pa.ListArray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     new = np.ones(len(start), bool)
     new[1:] = (owner[1:] << 32 | start[1:]) > reach[:-1]
     heads = np.flatnonzero(new)
-    last = np.append(heads[1:], len(start)) - 1
+    last = np.append(heads, len(start))[1:] - 1
     return start[heads], reach[last] & 0xFFFFFFFF, np.searchsorted(owner[heads], np.arange(len(spans) + 1))
 
 

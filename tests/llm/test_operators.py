@@ -254,6 +254,42 @@ def test_repeats_of_short_periods(spark):
     assert all(spans[d].text == t for d, t in rows)
 
 
+def letters(rng, n):
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+
+def test_repeats_that_stand_twice_in_one_text(spark):
+    """A text holds one long passage twice; a part of it stands in a smaller document."""
+    rng = random.Random(4)
+    rows = []
+    for d in range(0, 40, 4):
+        part, head, tail = letters(rng, 60), letters(rng, 40), letters(rng, 40)
+        twice = head + part + tail
+        rows += [(d, letters(rng, 40) + part + letters(rng, 40)), (d + 1, twice + letters(rng, 30) + twice + "." + twice),
+                 (d + 2, letters(rng, 9) + twice), (d + 3, part[3:] + tail[:5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {d: tuple(r)[1:] for d, r in by_id(repeats.digests(docs)).items()} == brute_removed(rows)
+
+
+def test_texts_without_repeats(spark):
+    rng = random.Random(5)
+    rows = [(d, letters(rng, 40 * d)) for d in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    assert {d: tuple(r)[1:] for d, r in by_id(repeats.digests(docs)).items()} == brute_removed(rows)
+    assert all(r.spans == [] for r in repeats.removed(docs).collect())
+
+
+def test_repeats_before_zero_bytes(spark):
+    """Zero bytes in a text are told from what fills up a shorter one."""
+    rng = random.Random(6)
+    rows = []
+    for d in range(0, 60, 3):
+        part = letters(rng, 50)
+        rows += [(d, "b" * 40 + part), (d + 1, "a" * 40 + part + "\0" * 20), (d + 2, "e" * 40 + part + "\0" * 20 + letters(rng, 30))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {d: tuple(r)[1:] for d, r in by_id(repeats.digests(docs)).items()} == brute_removed(rows)
+
+
 def test_anchors_of_one_letter_are_few_rows():
     who, at, h, c = repeats.anchors([b"a" * 1_000_000])
     head, packed = repeats._packed(who, at, h, c)
