@@ -8,7 +8,9 @@ Consecutive shifts of a generic unit are ordered by (date, vehicle, type);
 shifts equal in all three are interchangeable, so n equal shifts are n - 1
 unchanged steps. The order is read in slices of one calendar period per unit
 and the slices' edges are stitched, so no task sorts the whole history of a
-unit, however large that unit is.
+unit, however large that unit is. Slices are dealt out once; ``rows``, what the
+cells were counted from or a bound above their number, says to how many tasks,
+so a task's memory does not grow with the table.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from muster.functions import codes, fixed
 from muster.operators import joins
+from muster.session import tasks_for
 
 ORDER = ["date", "carid", "vehicle_type"]
 
@@ -81,12 +84,14 @@ def dominant_type(cells: DataFrame) -> DataFrame:
     )
 
 
-def _sliced(cells: DataFrame, period: str) -> DataFrame:
-    ordered = cells.groupBy("generic", *ORDER).agg(F.sum("n").alias("n"))
-    return ordered.withColumn("slice", F.trunc("date", period))
+def _sliced(cells: DataFrame, period: str, rows: int | None) -> DataFrame:
+    sliced = cells.select("generic", F.trunc("date", period).alias("slice"), *ORDER, "n")
+    if rows is not None:
+        sliced = sliced.repartition(tasks_for(cells.sparkSession, rows), "generic", "slice")
+    return sliced.groupBy("generic", "slice", *ORDER).agg(F.sum("n").alias("n"))
 
 
-def type_transitions(cells: DataFrame, *, period: str = "month") -> DataFrame:
+def type_transitions(cells: DataFrame, *, period: str = "month", rows: int | None = None) -> DataFrame:
     """Count by (current type, type of the shift before).
 
     A slice is reduced to its counts by pair of types, its first and its last
@@ -100,7 +105,7 @@ def type_transitions(cells: DataFrame, *, period: str = "month") -> DataFrame:
     def step(curr, prev, n):
         return F.struct(curr.alias("curr"), prev.alias("prev"), n.alias("n"))
 
-    stepped = _sliced(cells, period).select(
+    stepped = _sliced(cells, period, rows).select(
         "generic", "slice", "vehicle_type", "n",
         F.lag("vehicle_type").over(inside).alias("_before"), F.lead("vehicle_type").over(inside).alias("_after"),
     )
@@ -158,7 +163,7 @@ def change_rate(transitions: DataFrame) -> DataFrame:
     ).withColumn("percent", F.try_divide("changes", "steps") * 100)
 
 
-def type_runs(cells: DataFrame, *, period: str = "month") -> DataFrame:
+def type_runs(cells: DataFrame, *, period: str = "month", rows: int | None = None) -> DataFrame:
     """Lengths of runs of one type per unit, the unit's first shift left out.
 
     A unit's cells are summed up slice by slice as (first run, last run, closed runs).
@@ -169,7 +174,7 @@ def type_runs(cells: DataFrame, *, period: str = "month") -> DataFrame:
     """
     inside = Window.partitionBy("generic", "slice").orderBy(*ORDER)
     changed = F.when(F.col("vehicle_type") == F.lag("vehicle_type").over(inside), 0).otherwise(1)
-    marked = _sliced(cells, period).withColumn("_change", changed)
+    marked = _sliced(cells, period, rows).withColumn("_change", changed)
     numbered = marked.withColumn(
         "run", F.sum("_change").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )

@@ -44,7 +44,8 @@ def study_report(history: DataFrame, shifts: DataFrame, types: DataFrame, *, kin
     ``matrix`` names the types of the transition matrix; without them it is left out.
     """
     cells = cut(study(history, shifts, types, kinds=kinds, cities=cities))
-    steps, runs = cut(study_steps.type_transitions(cells)), cut(study_steps.type_runs(cells))
+    rows = cells.count()
+    steps, runs = cut(study_steps.type_transitions(cells, rows=rows)), cut(study_steps.type_runs(cells, rows=rows))
     found = {
         "type_frequency": study_steps.type_frequency(cells),
         "types_per_unit": study_steps.types_per_unit_histogram(cells),

@@ -273,7 +273,7 @@ def _(t):
 
 @query("types_per_unit_later", "SELECT generic, count(DISTINCT curr) AS types FROM {ordered_study} WHERE prev IS NOT NULL GROUP BY 1")
 def _(t):
-    return study.types_per_unit_later(study.type_runs(study_cells(t)))
+    return study.types_per_unit_later(study.type_runs(study_cells(t), rows=t.long_history.count()))
 
 
 @query(
@@ -309,7 +309,7 @@ def _(t):
     "SELECT curr, prev, n FROM {transitions}",
 )
 def _(t):
-    return study.type_transitions(study_cells(t))
+    return study.type_transitions(study_cells(t), rows=t.long_history.count())
 
 
 MATRIX_TYPES = ["AA002N", "AA002S", "DS013", "GhostVehicle", "SC013", "SC113", "SC114", "SS002A.450", "SS002H.250", "WA002N"]
@@ -325,7 +325,7 @@ MATRIX_TYPES = ["AA002N", "AA002S", "DS013", "GhostVehicle", "SC013", "SC113", "
     + " FROM {transitions} GROUP BY curr",
 )
 def _(t):
-    matrix = study.transition_matrix(study.type_transitions(study_cells(t)), MATRIX_TYPES)
+    matrix = study.transition_matrix(study.type_transitions(study_cells(t), rows=t.long_history.count()), MATRIX_TYPES)
     return matrix.toDF(*[name.replace(".", "_") for name in matrix.columns])
 
 
@@ -335,7 +335,7 @@ def _(t):
          n / sum(n) OVER (PARTITION BY curr) AS share FROM {transitions}""",
 )
 def _(t):
-    return study.transition_share(study.type_transitions(study_cells(t)))
+    return study.transition_share(study.type_transitions(study_cells(t), rows=t.long_history.count()))
 
 
 @query(
@@ -345,22 +345,22 @@ def _(t):
        FROM {ordered_study} WHERE prev IS NOT NULL""",
 )
 def _(t):
-    return study.change_rate(study.type_transitions(study_cells(t)))
+    return study.change_rate(study.type_transitions(study_cells(t), rows=t.long_history.count()))
 
 
 @query("type_runs", "SELECT generic, vehicle_type, length FROM {runs}")
 def _(t):
-    return study.type_runs(study_cells(t))
+    return study.type_runs(study_cells(t), rows=t.long_history.count())
 
 
 @query("long_runs", "SELECT generic, vehicle_type, length FROM {runs} WHERE length > 5")
 def _(t):
-    return study.long_runs(study.type_runs(study_cells(t)))
+    return study.long_runs(study.type_runs(study_cells(t), rows=t.long_history.count()))
 
 
 @query("run_histogram", "SELECT CAST(length // 5 * 5 AS BIGINT) AS from_length, count(*) AS runs FROM {runs} GROUP BY 1")
 def _(t):
-    return study.run_histogram(study.type_runs(study_cells(t)))
+    return study.run_histogram(study.type_runs(study_cells(t), rows=t.long_history.count()))
 
 
 @query(

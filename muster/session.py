@@ -51,6 +51,15 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+TASK_ROWS = 250_000  # rows of one task that sorts and keeps tables of them
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Number of tasks that take ``TASK_ROWS`` rows at most, if keys allow. A shuffle into a given
+    number is not joined into larger parts by adaptive execution, whose measure is compressed bytes."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def small_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
     """A handful of fixed rows as a DataFrame, built without Python workers."""
     structs = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows]

@@ -2,11 +2,13 @@
 
 import datetime as dt
 import os
+import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from muster import session
 from muster.queries.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -43,5 +45,17 @@ def test_query(spark, database, name):
     assert found == in_order([tuple(row[i] for i in places) for row in answer.fetchall()])
 
 
+@pytest.mark.parametrize("name,keys", [("run_histogram", ["generic", "slice"])])
+def test_tasks_grow_with_rows(spark, monkeypatch, name, keys):
+    """The sorts by unit are dealt to as many tasks as the rows call for, whatever the settings."""
+    few = len(QUERIES[name](spark, FOLDER).collect())
+    monkeypatch.setattr(session, "TASK_ROWS", 150, raising=False)
+    df = QUERIES[name](spark, FOLDER)
+    assert len(df.collect()) == few
+    columns = "".join(rf"{key}#\d+, " for key in keys)
+    found = re.findall(rf"hashpartitioning\({columns}(\d+)\), REPARTITION_BY_NUM", df._jdf.queryExecution().toString())
+    assert found and int(found[0]) > 4
+
+
 def test_entry(spark):
     assert contract.entry(spark).columns[0] == "generic"
