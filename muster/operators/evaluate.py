@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from muster.functions import codes, fixed
 from muster.operators import expected, joins
 from muster.operators.expected import PRODUCTION_TYPE
-from muster.session import cut
+from muster.session import cut, tasks_for
 
 
 def backtest_monthly(cells: DataFrame, *, k: int = 30, threshold: float = 0.5, weeks: int = 4,
-                     rank: Column | None = None) -> DataFrame:
+                     rank: Column | None = None, rows: int | None = None) -> DataFrame:
     """Every four weeks: learn from all shifts up to the date, predict the next
     four weeks. One row per step with running totals.
 
@@ -24,12 +24,17 @@ def backtest_monthly(cells: DataFrame, *, k: int = 30, threshold: float = 0.5, w
     only the steps at which it is among the unit's newest k days, so it is
     repeated for those steps alone, not for every later one, and a
     (unit, step) group holds at most k days. Steps are counted from the first
-    date.
+    date. Units are dealt out to as many tasks as there are day counts for, and
+    cells before by ``rows``, what they were counted from or a bound above their
+    number, so a task's memory does not grow with the table.
     """
     if rank is None:
         rank = codes.listed_rank(F.col("vehicle_type"))
     stride = 7 * weeks
-    counts = cut(cells.groupBy("generic", "date", "vehicle_type").agg(F.sum("n").alias("n")))
+    dealt = cells.select("generic", "date", "vehicle_type", "n")
+    if rows is not None:
+        dealt = dealt.repartition(tasks_for(cells.sparkSession, rows), "generic", "date")
+    counts = cut(dealt.groupBy("generic", "date", "vehicle_type").agg(F.sum("n").alias("n")))
     start = counts.select(F.min("date")).scalar()
     end = counts.select(F.max("date")).scalar()
     # Number of the first step at or after a date.
@@ -37,7 +42,8 @@ def backtest_monthly(cells: DataFrame, *, k: int = 30, threshold: float = 0.5, w
     last_step = F.floor(F.date_diff(end, start) / stride).cast("int")
 
     # The list holds one entry per type of that day.
-    days = counts.groupBy("generic", "date").agg(
+    by_unit = counts.repartition(tasks_for(cells.sparkSession, counts.count()), "generic")
+    days = by_unit.groupBy("generic", "date").agg(
         F.sum("n").alias("n"), F.collect_list(F.struct("vehicle_type", F.col("n").alias("m"))).alias("types")
     )
     by_date = Window.partitionBy("generic").orderBy("date")

@@ -57,7 +57,7 @@ def study_report(history: DataFrame, shifts: DataFrame, types: DataFrame, *, kin
         "types_per_group": study_steps.types_per_group_histogram(cells),
         "dominant_type": study_steps.dominant_type(cells),
         "rule_accuracy": study_steps.rule_accuracy(cells),
-        "monthly_update": evaluate.backtest_monthly(cells, k=k, threshold=threshold),
+        "monthly_update": evaluate.backtest_monthly(cells, k=k, threshold=threshold, rows=rows),
     }
     if matrix:
         found["transition_matrix"] = study_steps.transition_matrix(steps, matrix)

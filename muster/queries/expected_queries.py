@@ -682,4 +682,4 @@ def _(t):
        FROM steps p LEFT JOIN scored c ON p.step = c.step""",
 )
 def _(t):
-    return evaluate.backtest_monthly(study_cells(t))
+    return evaluate.backtest_monthly(study_cells(t), rows=t.long_history.count())

@@ -45,7 +45,7 @@ def test_query(spark, database, name):
     assert found == in_order([tuple(row[i] for i in places) for row in answer.fetchall()])
 
 
-@pytest.mark.parametrize("name,keys", [("run_histogram", ["generic", "slice"])])
+@pytest.mark.parametrize("name,keys", [("run_histogram", ["generic", "slice"]), ("backtest_monthly", ["generic"])])
 def test_tasks_grow_with_rows(spark, monkeypatch, name, keys):
     """The sorts by unit are dealt to as many tasks as the rows call for, whatever the settings."""
     few = len(QUERIES[name](spark, FOLDER).collect())
