@@ -125,7 +125,8 @@ def close_pairs(fps: DataFrame, distance: int = 4, blocks: int = 7, unit: int =
                        for t, m in enumerate(masks)])
     keys = fps.select("fp", F.inline(tables))
     shared = keys.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1")
-    rows = keys.join(shared, ["t", "k"])
+    # Spark sizes the keys as if each fingerprint had one, and would broadcast them, or the shared ones
+    rows = keys.join(shared.hint("merge"), ["t", "k"])
     pieces = F.ceil(F.col("n") / unit).cast("int")
     own = F.pmod(F.xxhash64(F.col("fp"), F.lit("piece")), pieces).cast("int")
     rows = rows.select("t", "k", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("other"))
